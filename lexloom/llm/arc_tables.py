@@ -25,7 +25,7 @@ def _file(name: str, members: list[bytes]) -> pa.RecordBatch:
 
 
 def pages_to_arc(pages: DataFrame, key_col: str, url_col: str, body_col: str, version: int | None = None) -> DataFrame:
-    """ARC files (ARCHIVE_SCHEMA) of ``pages``, one for each Arrow batch of at most 8 MB.
+    """ARC files (ARCHIVE_SCHEMA) of ``pages``, one for each Arrow batch of a few MB.
 
     ``version`` 1 or 2; None lets archives alternate.  A null body is an empty payload, a null url is
     written as ``-``; a null key leaves its header out.

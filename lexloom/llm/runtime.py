@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 #: Upper bound of one Arrow batch sent to a Python worker; a longer single text still travels whole.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 BATCH_ROWS = 4096
 
 

@@ -17,7 +17,7 @@ import heapq
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import chain
+from functools import cached_property
 
 import ahocorasick
 import numpy as np
@@ -32,7 +32,7 @@ SPACE = "▁"
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNKNOWN_PENALTY = 10.0
-MEMO_WORDS = 400_000
+MEMO_WORDS = 300_000
 MEMO_CHARS = 64
 MEMO_PAIRS = 1_000_000
 PAIR_SLOTS = 1 << 20
@@ -133,7 +133,7 @@ class Model:
     dummy_prefix: bool = True
     squeeze_spaces: bool = True
     charsmap: bytes = b""
-    memo: dict[str, list[int]] = field(default_factory=dict, repr=False)
+    memo: dict[str, bytes] = field(default_factory=dict, repr=False)
 
     @staticmethod
     def read(path: str) -> Model:
@@ -163,19 +163,26 @@ class Model:
         self.bytes = {int(p[3:5], 16): i for i, (p, _, kind) in enumerate(self.pieces) if kind == BYTE}
         usable = [s for _, s, kind in self.pieces if kind == NORMAL]
         self.unknown_score = min(usable, default=0.0) - UNKNOWN_PENALTY
-        self.automaton = ahocorasick.Automaton()
-        for piece, i in self.ids.items():
-            self.automaton.add_word(piece, (len(piece), i))
-        if self.ids:
-            self.automaton.make_automaton()
         #: No piece goes on past a space, so stretches that start with spaces are encoded one by one.
         self.by_word = not any(SPACE in p.lstrip(SPACE) for p in self.ids) and not any(kind == USER for _, _, kind in self.pieces)
         self.singles = frozenset(p for p in self.ids if len(p) == 1)
         self.agree: dict[int, bool] = {}
-        self.batch = BatchAutomaton(self.ids) if self.ids else None
         self.known_pair = np.full(PAIR_SLOTS, -1, np.int64)
         self.pair_agrees = np.zeros(PAIR_SLOTS, bool)
 
+    @cached_property
+    def automaton(self) -> ahocorasick.Automaton:
+        out = ahocorasick.Automaton()
+        for piece, i in self.ids.items():
+            out.add_word(piece, (len(piece), i))
+        if self.ids:
+            out.make_automaton()
+        return out
+
+    @cached_property
+    def batch(self) -> BatchAutomaton | None:
+        return BatchAutomaton(self.ids) if self.ids else None
+
     # --- encoding ---------------------------------------------------------------------------------
 
     def normalised(self, text: str) -> str:
@@ -190,17 +197,21 @@ class Model:
         return self.encode_all([text])[0]
 
     def encode_all(self, texts: list[str | None]) -> list[list[int]]:
-        """Ids of each text.  Words not met lately are encoded together."""
+        """Ids of each text."""
+        return [np.frombuffer(x, np.int32).tolist() for x in self.encode_packed(texts)]
+
+    def encode_packed(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text as 32-bit numbers.  Words not met lately are encoded together."""
         whole = [self.normalised(t or "") for t in texts]
         if not self.by_word:
-            return [self.encode_stretch(t) if t else [] for t in whole]
+            return [packed(self.encode_stretch(t)) if t else b"" for t in whole]
         stretches = [self.stretches(t) for t in whole]
         memo = self.memo
         fresh = list(set().union(*stretches) - memo.keys())
         for at in range(0, len(fresh), BATCH_WORDS):
             some = fresh[at : at + BATCH_WORDS]
             memo.update(zip(some, self.encode_words(some), strict=True))
-        out = [list(chain.from_iterable(map(memo.__getitem__, part))) for part in stretches]
+        out = [b"".join(map(memo.__getitem__, part)) for part in stretches]
         for w in fresh:
             if len(w) > MEMO_CHARS:
                 del memo[w]
@@ -225,12 +236,12 @@ class Model:
                 lead = ""
         return [*out, lead] if lead else out
 
-    def encode_words(self, words: list[str]) -> list[list[int]]:
+    def encode_words(self, words: list[str]) -> list[bytes]:
         """Ids of each word, all read by the automaton in step; odd ones go one by one."""
-        out: list[list[int]] = [[]] * len(words)
+        out = [b""] * len(words)
         plain = [k for k, w in enumerate(words) if len(w) <= MEMO_CHARS] if self.batch else []
         for k in set(range(len(words))).difference(plain):
-            out[k] = self.encode_stretch(words[k])
+            out[k] = packed(self.encode_stretch(words[k]))
         if not plain:
             return out
         plain.sort(key=lambda k: -len(words[k]))
@@ -279,20 +290,20 @@ class Model:
             row = row[at[row] > 0]
         rows, ids = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
         order = np.lexsort((-np.arange(len(rows)), rows))
-        ids, ends = ids[order].tolist(), np.cumsum(np.bincount(rows, minlength=n)).tolist()
+        data, ends = ids[order].astype(np.int32).tobytes(), (np.cumsum(np.bincount(rows, minlength=n)) * 4).tolist()
         begin = 0
         for k, end in zip(plain, ends, strict=True):
-            out[k] = ids[begin:end]
+            out[k] = data[begin:end]
             begin = end
         for k in np.flatnonzero(bad).tolist():
-            out[plain[k]] = self.encode_stretch(words[plain[k]])
+            out[plain[k]] = packed(self.encode_stretch(words[plain[k]]))
         for k in np.unique(rows[np.concatenate([p[1] for p in parts]) == GAP]).tolist():
             if not bad[k]:
                 word, parts_, place = words[plain[k]], [], 0
-                for i in out[plain[k]]:
+                for i in np.frombuffer(out[plain[k]], np.int32).tolist():
                     parts_.append((place, max(i, -1)))
                     place += 1 if i == GAP else len(self.pieces[i][0])
-                out[plain[k]] = self.resolve(word, parts_)
+                out[plain[k]] = packed(self.resolve(word, parts_))
         return out
 
     def follow_all(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -465,6 +476,10 @@ class Model:
         return "".join(out)
 
 
+def packed(ids: list[int]) -> bytes:
+    return np.array(ids, np.int32).tobytes()
+
+
 _models: dict[str, Model] = {}
 
 
@@ -482,11 +497,30 @@ def encode(df: DataFrame, model_path: str, text_col: str = "text", out_col: str
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = model(model_path)
         for batch in batches:
-            yield pa.array(m.encode_all(batch.to_pylist()), pa.list_(pa.int32()))
+            rows = m.encode_packed(batch.to_pylist())
+            offsets = np.r_[0, np.cumsum([len(x) for x in rows])] // 4
+            yield pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(np.frombuffer(b"".join(rows), np.int32)))
 
     return df.withColumn(out_col, ids(F.col(text_col)))
 
 
+def encode_and_decode(df: DataFrame, model_path: str, text_col: str = "text", out_col: str = "coded") -> DataFrame:
+    """``df`` with ``out_col``, struct(ids, decoded): ``encode`` and ``decode`` in one worker."""
+    bounded_batches(session_of(df))
+
+    @F.arrow_udf("ids array<int>, decoded string")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        m = model(model_path)
+        for batch in batches:
+            rows = m.encode_packed(batch.to_pylist())
+            offsets = np.r_[0, np.cumsum([len(x) for x in rows])] // 4
+            ids = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(np.frombuffer(b"".join(rows), np.int32)))
+            texts = pa.array([m.decode(np.frombuffer(x, np.int32).tolist()) for x in rows], pa.string())
+            yield pa.StructArray.from_arrays([ids, texts], names=["ids", "decoded"])
+
+    return df.withColumn(out_col, both(F.col(text_col)))
+
+
 def decode(df: DataFrame, model_path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """``df`` with ``out_col`` (string); null ids give an empty text.  No shuffle."""
     bounded_batches(session_of(df))
@@ -495,6 +529,6 @@ def decode(df: DataFrame, model_path: str, ids_col: str = "ids", out_col: str =
     def texts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = model(model_path)
         for batch in batches:
-            yield pa.array([m.decode(x) for x in batch.to_pylist()], pa.string())
+            yield pa.array([m.decode(row.values.to_numpy(zero_copy_only=False).tolist() if row.is_valid else None) for row in batch], pa.string())
 
     return df.withColumn(out_col, texts(F.col(ids_col)))
