@@ -7,8 +7,8 @@ key; 64 keys per distinct fingerprint whatever s is.  Rows are dealt by key and
 distances are counted with numpy, each pair under its first common key only, and what leaves is a
 spanning forest of the key's links, never all pairs.  Star contraction joins the forests.
 
-Several independent fingerprints can be taken of the same shingles: a pair is then a candidate if
-any of them is within k, and a link if all of them together are within ``total``.
+Several independent fingerprints can be taken of the same shingles: two texts link if any of them is
+within k, which finds texts that one fingerprint alone parts by chance.
 """
 
 from __future__ import annotations
@@ -32,6 +32,7 @@ BLOCK = 2048
 #: Keys with up to so many rows are compared by shifting whole columns, larger ones block by block.
 SMALL = 32
 PART = 4096
+SEGMENT_BITS = 40
 
 
 def shingle_hashes(text: str | None, words: int, seed: int = 42) -> np.ndarray:
@@ -95,13 +96,18 @@ def segments(k: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(edges, edges[1:], strict=False)]
 
 
-def _keys(fp: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(bit, key) for each wildcard bit: the segment without it, under the bit's number."""
+def _keys(fp: np.ndarray, k: int, number: int) -> Iterator[np.ndarray]:
+    """A key for each wildcard bit: numbers of fingerprint and bit, and the bit's segment without it.
+
+    A segment too long for the key is folded into it; what meets by that is told apart by its distance.
+    """
     for first, size in segments(k):
-        mask = np.uint64((1 << size) - 1)
-        segment = fp >> np.uint64(first) & mask
+        segment = fp >> np.uint64(first) & np.uint64((1 << size) - 1)
         for bit in range(size):
-            yield first + bit, segment & ~np.uint64(1 << bit) | np.uint64((first + bit) << 56)
+            rest = segment & ~np.uint64(1 << bit)
+            if size > SEGMENT_BITS:
+                rest = rest * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(BITS - SEGMENT_BITS)
+            yield rest | np.uint64((number << 6 | first + bit) << SEGMENT_BITS)
 
 
 def _first_key(x: np.ndarray, k: int) -> np.ndarray:
@@ -133,145 +139,120 @@ def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class _Linker:
-    """Compares rows that share a key.  Row: node number, one column of 64 bits for each fingerprint."""
+    """Compares rows (key, node, fingerprint) that share a key."""
 
-    def __init__(self, k: int, total: int):
-        self.k, self.total = k, total
+    def __init__(self, k: int):
+        self.k = k
 
-    def linked(self, bit: np.ndarray, fi: np.ndarray, p: list[np.ndarray], q: list[np.ndarray]) -> np.ndarray:
+    def linked(self, bit: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
         """Whether rows p and q link, and this is the first key where they meet."""
-        x = [a ^ b for a, b in zip(p, q, strict=True)]
-        d = np.stack([np.bitwise_count(v) for v in x]).astype(np.int64)
-        near = d <= self.k
-        ok = (d.sum(0) <= self.total) & near.any(0) & (np.argmax(near, 0) == fi)
+        x = p ^ q
+        ok = np.bitwise_count(x) <= self.k
         at = np.flatnonzero(ok)
-        if len(at):
-            own = np.choose(fi[at], [v[at] for v in x]) if len(x) > 1 else x[0][at]
-            ok[at] = _first_key(own, self.k) == bit[at]
+        ok[at] = _first_key(x[at], self.k) == bit[at]
         return ok
 
-    def forest(self, key: np.ndarray, fi: np.ndarray, node: np.ndarray, fps: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """Rows sorted by (fi, key): spanning forest of their links."""
-        edge = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (fi[1:] != fi[:-1]), True])
+    def forest(self, key: np.ndarray, node: np.ndarray, fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows sorted by key: spanning forest of their links."""
+        edge = np.flatnonzero(np.r_[True, key[1:] != key[:-1], True])
         size = np.diff(edge)
         run = np.repeat(np.arange(len(size)), size)
-        bit = (key >> np.uint64(56)).astype(np.int64)
+        bit = (key >> np.uint64(SEGMENT_BITS) & np.uint64(63)).astype(np.int64)
         found_a, found_b = [], []
         small = size[run] <= SMALL
         for shift in range(1, min(SMALL, int(size.max(initial=1)))):
             i = np.flatnonzero((run[shift:] == run[:-shift]) & small[shift:])
             if not len(i):
                 continue
-            ok = i[self.linked(bit[i], fi[i], [f[i] for f in fps], [f[i + shift] for f in fps])]
+            ok = i[self.linked(bit[i], fp[i], fp[i + shift])]
             found_a.append(node[ok])
             found_b.append(node[ok + shift])
         for r in np.flatnonzero(size > SMALL):
             lo, hi = edge[r], edge[r + 1]
-            a, b = self.large(bit[lo], fi[lo], node[lo:hi], [f[lo:hi] for f in fps])
+            a, b = self.large(bit[lo], node[lo:hi], fp[lo:hi])
             found_a.append(a)
             found_b.append(b)
         if not found_a:
             return node[:0], node[:0]
         return _forest(np.concatenate(found_a), np.concatenate(found_b))
 
-    def large(self, bit: int, fi: int, node: np.ndarray, fps: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    def large(self, bit: int, node: np.ndarray, fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The same for one key with many rows: blocks against blocks, links of a block kept as a forest."""
-        ends_a, ends_b = [], []
+        ends_a, ends_b = [node[:0]], [node[:0]]
         n = len(node)
         for lo in range(0, n, BLOCK):
-            ours = slice(lo, min(lo + BLOCK, n))
             for at in range(lo, n, BLOCK):
-                theirs = slice(at, min(at + BLOCK, n))
-                rows, cols = [], []
-                step = max(1, (1 << 18) // (theirs.stop - theirs.start))
-                for top in range(ours.start, ours.stop, step):
-                    some = slice(top, min(top + step, ours.stop))
-                    i, j = np.meshgrid(np.arange(some.start, some.stop), np.arange(theirs.start, theirs.stop), indexing="ij")
-                    keep = i < j if at == lo else np.ones(i.shape, bool)
-                    i, j = i[keep], j[keep]
-                    d = np.bitwise_count(fps[fi][i] ^ fps[fi][j]) <= self.k
-                    i, j = i[d], j[d]
-                    ok = self.linked(np.full(len(i), bit), np.full(len(i), fi), [f[i] for f in fps], [f[j] for f in fps])
-                    rows.append(i[ok])
-                    cols.append(j[ok])
-                a, b = _forest(node[np.concatenate(rows)], node[np.concatenate(cols)])
-                ends_a.append(a)
-                ends_b.append(b)
+                ours, theirs = fp[lo : lo + BLOCK], fp[at : at + BLOCK]
+                near = np.bitwise_count(ours[:, None] ^ theirs[None, :]) <= self.k
+                i, j = np.nonzero(np.triu(near, 1) if at == lo else near)
+                first = _first_key(ours[i] ^ theirs[j], self.k) == bit
+                if first.any():
+                    a, b = _forest(node[lo + i[first]], node[at + j[first]])
+                    ends_a.append(a)
+                    ends_b.append(b)
         return _forest(np.concatenate(ends_a), np.concatenate(ends_b))
 
 
-def fingerprint_links(nodes: DataFrame, k: int, total: int, count: int) -> DataFrame:
+INDEX = "key long, node long, fp long"
+
+
+def fingerprint_links(nodes: DataFrame, k: int, count: int = 1) -> DataFrame:
     """Edges (a, b) that join what ``nodes`` (node long, fps array) links; distinct ``fps`` expected.
 
-    The index is dealt out by key: 64 x count narrow rows for each node.  The rows of one key are
+    The index is dealt out by key: 64 x count rows of 24 bytes for each node.  The rows of one key are
     fingerprints that agree in all but one bit of a segment; they are distinct, held as 8 bytes a
     fingerprint and compared block by block, so memory stays small whatever a key holds.
     """
     bounded_batches(session_of(nodes))
-    columns = [f"f{i}" for i in range(count)]
-    schema = T.StructType([T.StructField("fi", T.IntegerType()), T.StructField("key", T.LongType()), T.StructField("node", T.LongType()), *[T.StructField(c, T.LongType()) for c in columns]])
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            node = batch.column(0)
-            fps = [batch.column(1 + i).to_numpy().view(np.uint64) for i in range(count)]
-            for fi in range(count):
-                for _, key in _keys(fps[fi], k):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(node), fi, np.int32)), pa.array(key.view(np.int64)), node, *[batch.column(1 + i) for i in range(count)]], names=schema.names)
-
-    linker_args = (k, total)
+            for number in range(count if batch.num_rows else 0):
+                fp = batch.column(1 + number)
+                for key in _keys(fp.to_numpy().view(np.uint64), k, number):
+                    yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), batch.column(0), fp], names=["key", "node", "fp"])
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        linker = _Linker(*linker_args)
-        rest: pa.Table | None = None
+        linker = _Linker(k)
+        held: list[pa.Table] = []  # rows of the last key so far
 
-        def out(table: pa.Table) -> pa.RecordBatch:
-            cols = [table.column(i).to_numpy() for i in range(3 + count)]
-            a, b = linker.forest(cols[1].view(np.uint64), cols[0].astype(np.int64), cols[2], [c.view(np.uint64) for c in cols[3:]])
+        def out(tables: list[pa.Table]) -> pa.RecordBatch:
+            key, node, fp = (c.to_numpy() for c in pa.concat_tables(tables).combine_chunks().columns)
+            a, b = linker.forest(key.view(np.uint64), node, fp.view(np.uint64))
             return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-        waiting: list[pa.Table] = []
-        held = 0
         for batch in batches:
             table = pa.Table.from_batches([batch])
             if not table.num_rows:
                 continue
-            key, fi = table.column("key").to_numpy(), table.column("fi").to_numpy()
-            cut = int(np.flatnonzero((key != key[-1]) | (fi != fi[-1])).max(initial=-1)) + 1
-            if cut == 0 and rest is not None and (rest.column("key")[-1].as_py(), rest.column("fi")[-1].as_py()) == (key[-1], fi[-1]):
-                waiting.append(table)
-                continue
-            ready = ([rest] if rest is not None else []) + waiting + [table.slice(0, cut)]
-            waiting = []
-            done = pa.concat_tables(ready).combine_chunks()
-            rest = table.slice(cut)
-            held += done.num_rows
-            if done.num_rows:
-                yield out(done)
-        if rest is not None:
-            yield out(pa.concat_tables([rest, *waiting]).combine_chunks())
-
-    keyed = nodes.select("node", *[F.col("fps")[i].alias(c) for i, c in enumerate(columns)]).mapInArrow(index, schema)
+            key = table.column("key").to_numpy()
+            cut = int(np.searchsorted(key, key[-1], side="left"))
+            if cut:
+                yield out([*held, table.slice(0, cut)])
+                held = []
+            elif held and held[0].column("key")[0].as_py() != key[0]:
+                yield out(held)
+                held = []
+            held.append(table.slice(cut))
+        if held:
+            yield out(held)
+
+    keyed = nodes.select("node", *[F.col("fps")[i].alias(f"f{i}") for i in range(count)]).mapInArrow(index, INDEX)
     parts = max(int(session_of(nodes).conf.get("spark.sql.shuffle.partitions")), 1)
-    dealt = keyed.repartition(parts, "fi", "key").sortWithinPartitions("fi", "key")
-    return dealt.mapInArrow(link, "a long, b long")
+    return keyed.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(link, "a long, b long")
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, max_bits: int = 4, count: int = 1, total: int | None = None) -> DataFrame:
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, max_bits: int = 4, count: int = 1) -> DataFrame:
     """(id_col, fps, component_id): one row for each row of ``df``.
 
-    Two texts link if a fingerprint of theirs differs in at most ``max_bits`` bits (and all ``count``
-    together in at most ``total``); component_id is the smallest id reachable by links, the row's own
-    included.  Null and empty texts have zero fingerprints and link like others.  A row with a null id
-    gets a component only from rows with ids, else null; repeated rows share their component.
+    Two texts link if one of their ``count`` fingerprints differs in at most ``max_bits`` bits;
+    component_id is the smallest id reachable by links, the row's own included.  Null and empty texts
+    have zero fingerprints and link like others.  A row with a null id gets a component only from rows
+    with ids of the same fingerprints, else null; repeated rows share their component.
     Texts are read once; everything after works on fingerprints, equal ones as one node.
     """
-    total = max_bits * count if total is None else total
     own = staged(fingerprints(df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")), "text", words, count).select("id", "fps"), "fingerprints")
     nodes = staged(own.where("id is not null").groupBy("fps").agg(F.min("id").alias("node")), "nodes")
-    edges = fingerprint_links(nodes, max_bits, total, count)
-    parts = connected_components(edges, "a", "b")
+    parts = connected_components(fingerprint_links(nodes, max_bits, count), "a", "b")
     labelled = nodes.join(parts, "node", "left").select("fps", F.coalesce("component", "node").alias("component_id"))
     return own.join(labelled, "fps", "left").select(F.col("id").alias(id_col), "fps", "component_id")
