@@ -106,10 +106,10 @@ def gunzipped(content: pd.Series) -> pd.Series:
 def put_objects(objects: DataFrame) -> DataFrame:
     """(key, stored, sha256, byte_size) of (key, content): compressible kinds as gzip without a time stamp, hashes of the raw bytes."""
     small = F.col("key").rlike(r"\.(xml|md|json|txt|html|csv)$")
-    rows = objects.where(safe_key(F.col("key"))).withColumn("stored", F.when(small, gzipped("content")).otherwise(F.col("content")))
+    rows = objects.where(safe_key(F.col("key"))).withColumn("stored", F.when(small, gzipped(F.when(small, F.col("content")))).otherwise(F.col("content")))
     return rows.select(F.when(small, F.concat("key", F.lit(".gz"))).otherwise(F.col("key")).alias("key"), "stored", F.sha2("content", 256).alias("sha256"), F.length("stored").cast("long").alias("byte_size"))
 
 
 def get_objects(stored: DataFrame) -> DataFrame:
     packed = F.col("key").endswith(".gz")
-    return stored.select(F.when(packed, F.regexp_replace("key", r"\.gz$", "")).otherwise(F.col("key")).alias("key"), F.when(packed, gunzipped("stored")).otherwise(F.col("stored")).alias("content"))
+    return stored.select(F.when(packed, F.regexp_replace("key", r"\.gz$", "")).otherwise(F.col("key")).alias("key"), F.when(packed, gunzipped(F.when(packed, F.col("stored")))).otherwise(F.col("stored")).alias("content"))
