@@ -182,6 +182,15 @@ def op9_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rp_forest.vector_links(table(spark, sf_dir, "embeddings"), threshold=0.98)
 
 
+OP9_SQL = """
+with recursive v as (select vec_id, label, embedding::double[] as e from embeddings
+    where label is not null and embedding is not null and len(list_filter(embedding, lambda c: c is null or not isfinite(c))) = 0 and len(list_filter(embedding, lambda c: c <> 0)) > 0),
+links as (select a.vec_id as a, b.vec_id as b from v a join v b on a.label = b.label and a.vec_id <> b.vec_id and len(a.e) = len(b.e) where list_cosine_similarity(a.e, b.e) >= 0.98),
+reach as (select distinct a, b from links union select r.a, l.b from reach r join links l on l.a = r.b)
+select vec_id, (select count(*) from links where a = vec_id)::bigint as n_links, least(vec_id, coalesce((select min(b) from reach where a = vec_id), vec_id)) as component_id,
+    vec_id = least(vec_id, coalesce((select min(b) from reach where a = vec_id), vec_id)) as kept from embeddings
+"""
+
 RULES = {"org/": "allow", "example.org/es/": "block", "example.org/en/1": "block", "com/fr/": "allow", "com/de/": "block"}
 
 
@@ -197,4 +206,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_token_counts, op2_mixing, op3_tiff, op4_arc_to_warc, op5_simhash, op6_quality, op7_language, op8_sentencepiece, op9_vector_dedup, op10_url_filter, pipeline)}
-SQL = {"op2_mixing": OP2_SQL, "op4_arc_to_warc": OP4_SQL}
+SQL = {"op2_mixing": OP2_SQL, "op4_arc_to_warc": OP4_SQL, "op9_vector_dedup": OP9_SQL}

@@ -157,7 +157,7 @@ class Model:
         self.scores = [s for _, s, _ in self.pieces]
         self.score_array = np.array(self.scores)
         #: What each piece shows on its own, and the pieces that show nothing on their own: bytes of longer characters.
-        self.shown = [chr(int(p[3:5], 16)) if kind == BYTE and p < "<0x8" else " ⁇ " if kind == UNKNOWN else "" if kind == CONTROL else p for p, _, kind in self.pieces]
+        self.shown = [chr(int(p[3:5], 16)) if kind == BYTE and p < "<0x8" else " ⁇ " if kind == UNKNOWN else "" if kind == CONTROL else p.replace(SPACE, " ") for p, _, kind in self.pieces]
         self.uncommon = frozenset(i for i, (p, _, kind) in enumerate(self.pieces) if kind == BYTE and p >= "<0x8")
         self.unknown = next((i for i, p in enumerate(self.pieces) if p[2] == UNKNOWN), 0)
         self.bytes = {int(p[3:5], 16): i for i, (p, _, kind) in enumerate(self.pieces) if kind == BYTE}
@@ -443,8 +443,10 @@ class Model:
             text = self.decode_bytes(ids)
         else:
             text = "".join(map(self.shown.__getitem__, ids or ()))
-        text = text.replace(SPACE, " ")
-        return text[1:] if self.dummy_prefix and text.startswith(" ") else text
+        if not self.dummy_prefix or not text.startswith(" "):
+            return text
+        first = next(self.pieces[i] for i in ids if self.pieces[i][2] != CONTROL)
+        return text[1:] if first[0].startswith(SPACE) else text
 
     def decode_bytes(self, ids: list[int]) -> str:
         """Pieces in a row, bytes put together to characters."""
@@ -471,7 +473,7 @@ class Model:
             if kind == UNKNOWN:
                 out.append(" ⁇ ")
             elif kind != CONTROL:
-                out.append(piece)
+                out.append(piece.replace(SPACE, " "))
         flush()
         return "".join(out)
 
