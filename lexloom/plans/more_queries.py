@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexloom.functions import text as t
-from lexloom.operators import coverage, entities, layout, publish
+from lexloom.operators import coverage, entities, keyed, layout, publish
 from lexloom.plans.adapters import Tables, sql
 from lexloom.plans.queries import query
 from lexloom.sources import clml, feeds, files
@@ -584,3 +584,64 @@ def e3(tb: Tables) -> DataFrame:
     e = tb.effects()
     cursor = e.groupBy("affected_document_id").agg(F.date_sub(F.max("in_force_date"), 200).alias("cursor"))
     return e.join(cursor, "affected_document_id").where("in_force_date > cursor").select("effect_id")
+
+
+# --- smaller operators ----------------------------------------------------------------------------
+
+
+@query("o7_hash_sample", "select c_custkey from customer where substr(md5('s:' || c_custkey), 1, 2) < '40'")
+def o7(tb: Tables) -> DataFrame:
+    # A sample that every run repeats: by the hash of the key, not by chance.
+    return tb.read("customer").where(F.substring(F.md5(F.concat(F.lit("s:"), F.col("c_custkey").cast("string")).cast("binary")), 1, 2) < "40").select("c_custkey")
+
+
+@query("o11_first_wins", "select url_host, min(page_id) as page_id from (select page_id, regexp_extract(url, '://([^/?#]*)', 1) as url_host from pages) group by 1")
+def o11(tb: Tables) -> DataFrame:
+    rows = tb.read("pages").select("page_id", F.regexp_extract("url", "://([^/?#]*)", 1).alias("url_host"))
+    return keyed.distinct_on(rows, ["url_host"], [F.col("page_id")]).select("url_host", "page_id")
+
+
+@query("j1_three_way_join", "select o_orderkey, c_name, n_name from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey where o_orderstatus = 'P'")
+def j1(tb: Tables) -> DataFrame:
+    o = tb.read("orders").where("o_orderstatus = 'P'")
+    return o.join(tb.read("customer"), F.col("o_custkey") == F.col("c_custkey")).join(tb.read("nation"), F.col("c_nationkey") == F.col("n_nationkey")).select("o_orderkey", "c_name", "n_name")
+
+
+@query("j3_semi_in_filter", "select l_suppkey, count(*)::bigint as n, count(*) filter (where l_orderkey in (select o_orderkey from orders where o_orderstatus = 'F'))::bigint as matched from lineitem group by 1")
+def j3(tb: Tables) -> DataFrame:
+    done = tb.read("orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("l_orderkey"), F.lit(True).alias("done"))
+    return tb.read("lineitem").join(done, "l_orderkey", "left").groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n"), F.count_if("done").alias("matched"))
+
+
+@query("r2_array_membership", "select doc_id from documents where list_contains(['src1', 'src4'], source)")
+def r2(tb: Tables) -> DataFrame:
+    return tb.read("documents").where(F.array_contains(F.array(F.lit("src1"), F.lit("src4")), F.col("source"))).select("doc_id")
+
+
+@query("r3_distinct_in_order", "select doc_id, source || ',' || lang || ',x' as parts from documents")
+def r3(tb: Tables) -> DataFrame:
+    return tb.read("documents").select("doc_id", F.array_join(F.array_distinct(F.array("source", "lang", "source", F.lit("x"), "lang")), ",").alias("parts"))
+
+
+@query("d5_rounded_scores", "select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity::bigint as q, round((l_quantity * 7)::bigint::decimal(18, 0) / 16, 4)::varchar as score from lineitem where l_quantity = round(l_quantity) and l_orderkey < 2000")
+def d5(tb: Tables) -> DataFrame:
+    rows = tb.read("lineitem").where("l_quantity = round(l_quantity) and l_orderkey < 2000")
+    score = F.round(((F.col("l_quantity") * 7).cast("long") / 16).cast("double"), 4).cast("string")
+    return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_quantity").cast("long").alias("q"), score.alias("score"))
+
+
+@query("d6_medians", "select l_suppkey, quantile_disc(l_linenumber, 0.5)::int as middle from lineitem group by 1")
+def d6(tb: Tables) -> DataFrame:
+    return tb.read("lineitem").groupBy("l_suppkey").agg(F.expr("percentile_disc(0.5) within group (order by l_linenumber)").cast("int").alias("middle"))
+
+
+@query("t14_t15_flags", "select page_id, page_id % 3 = 0 as metadata_only, case when page_id % 2 = 0 then 'Head ' || page_id else 'p' || page_id end as title from pages")
+def t14(tb: Tables) -> DataFrame:
+    md = F.concat(F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("# Head "), F.col("page_id").cast("string"), F.lit("\n\n"))).otherwise("x\n"), F.when(F.col("page_id") % 3 == 0, clml.METADATA_ONLY).otherwise(""))
+    return tb.read("pages").select("page_id", md.contains(clml.METADATA_ONLY).alias("metadata_only"), t.fallback_title(md, F.concat(F.lit("p"), F.col("page_id").cast("string"))).alias("title"))
+
+
+@query("s17_x6_addresses", "select page_id, 'ukpga/19' || (page_id % 90 + 10) || '/' || page_id as document_id from pages")
+def s17(tb: Tables) -> DataFrame:
+    address = F.concat(F.lit("http://x.org/id/ukpga/19"), (F.col("page_id") % 90 + 10).cast("string"), F.lit("/"), F.col("page_id").cast("string"), F.lit("/2001-01-01"))
+    return tb.read("pages").select("page_id", files.seed_ref(address).alias("document_id"))
