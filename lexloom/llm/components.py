@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexloom.llm.runtime import staged
+from lexloom.llm.runtime import discard, staged
 
 MAX_ROUNDS = 60
 
@@ -43,5 +43,7 @@ def connected_components(edges: DataFrame, left: str, right: str) -> DataFrame:
         if not seal["n"] or seal == before:
             return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(now.select("v", "v").distinct())
         before = seal
-        now = staged(_small_star(_large_star(now).distinct()).distinct(), "edges")
+        after = staged(_small_star(_large_star(now).distinct()).distinct(), "edges")
+        discard(now)
+        now = after
     raise RuntimeError("components did not settle")

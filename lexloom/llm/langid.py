@@ -13,11 +13,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexloom.llm.ngrams import grams
-from lexloom.llm.runtime import bounded_batches, hash_share, session_of
+from lexloom.llm.runtime import bounded_batches, hash_share, row_hash, session_of
 
 DIMS = 1 << 14
 SIZES = (2, 3, 4)
@@ -25,6 +25,8 @@ SIZES = (2, 3, 4)
 TRAIN_TEXTS = 4000
 #: Largest number of languages: bounds the matrix at 64 MB.
 MAX_LANGUAGES = 1024
+#: Entries of the matrix gathered at once.
+GATHERED = 1 << 21
 UNKNOWN = "und"
 _LETTER = regex.compile(r"\p{L}")
 #: ASCII bytes that are no letters count as one space; other bytes stand for themselves.
@@ -46,8 +48,10 @@ class LanguageModel:
 
     def scores(self, text: str) -> np.ndarray:
         total = self.log_prior.copy()
+        step = max(1, GATHERED // len(self.languages))
         for ids in grams(letters_only(text), SIZES, DIMS):
-            total += self.log_prob[ids].sum(0, dtype=np.float64)
+            for at in range(0, len(ids), step):
+                total += self.log_prob[ids[at : at + step]].sum(0, dtype=np.float64)
         return total
 
     def predict(self, text: str | None) -> tuple[str, float]:
@@ -59,24 +63,23 @@ class LanguageModel:
         return self.languages[best], float(1 / np.exp(s - s[best]).sum())
 
 
-def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang", *sample_by: Column) -> LanguageModel:
+def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> LanguageModel:
     """The model of ``df``'s rows with a text and a language.
 
-    About TRAIN_TEXTS texts of each language are counted, chosen by the hash of ``sample_by`` (the text
-    by default); priors use all rows.  No rows: a model without languages.
+    About TRAIN_TEXTS texts of each language are counted, chosen by the hash of the whole row; priors
+    use all rows.  No rows: a model without languages.
     """
     bounded_batches(session_of(df))
-    rows = df.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"), *[c.alias(f"s{i}") for i, c in enumerate(sample_by)]).where("text is not null and lang is not null")
+    rows = df.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"), row_hash(df).alias("_s")).where("text is not null and lang is not null")
     held = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES + 1).collect()}
     if len(held) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     languages = sorted(held)
     if not languages:
         return LanguageModel([], np.zeros(0), np.zeros((DIMS, 0), np.float32))
-    by = [F.col(f"s{i}") for i in range(len(sample_by))] or [F.col("text")]
     chosen = F.lit(False)
     for name in languages:
-        chosen = chosen | ((F.col("lang") == name) & hash_share(held[name], TRAIN_TEXTS, *by))
+        chosen = chosen | ((F.col("lang") == name) & hash_share(held[name], TRAIN_TEXTS, F.col("_s")))
     place = {name: i for i, name in enumerate(languages)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -70,16 +70,17 @@ def tree_budgets(leaves: DataFrame, levels: list[str], weights: dict[str, Column
     for level in levels:
         held = held.withColumn(f"_w_{level}", weights[level].cast("long"))
     held = held.withColumn("cap", F.when(F.least(F.lit(1), *[F.col(f"_w_{x}") for x in levels]) > 0, F.col("cap")).otherwise(0))
-    above = leaves.agg(budget.cast("long").alias("_budget"))
+    total = leaves.agg(budget.cast("long").alias("b")).first()["b"] or 0  # one number
+    above = None
     for depth, level in enumerate(levels):
         path = levels[: depth + 1]
         level_rows = held.groupBy(*path).agg(F.sum("cap").alias("cap"), F.max(f"_w_{level}").alias("_w"))
         parent = path[:-1]
-        if parent:
+        if above is not None:
             matched = [level_rows[c].eqNullSafe(above[c]) for c in parent]
             children = level_rows.join(above, matched).select(*[level_rows[c] for c in path], level_rows["cap"], "_w", "_budget")
         else:
-            children = level_rows.join(above)  # one row: the root's budget
+            children = level_rows.withColumn("_budget", F.lit(total))
         above = divide_budget(children, parent, level, "_w", "cap", "_budget").select(*path, F.col("share").alias("_budget"))
     return above.withColumnRenamed("_budget", "share")
 

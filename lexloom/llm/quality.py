@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexloom.llm.ngrams import grams
-from lexloom.llm.runtime import bounded_batches, hash_share, session_of
+from lexloom.llm.runtime import bounded_batches, hash_share, row_hash, session_of
 
 GOOD, BAD, NONE = "g", "b", "-"
 DIMS = 1 << 11
@@ -187,13 +187,13 @@ class Scorer:
 
 def fit_linear(x: np.ndarray, y: np.ndarray, rounds: int = 300, decay: float = 1e-3) -> tuple[np.ndarray, float]:
     """Logistic regression on soft labels by Adam over the whole sample, in units of each feature's spread."""
-    mean, spread = x.mean(0), x.std(0) + 1e-4
-    z = (x - mean) / spread
+    mean, spread = x.mean(0, dtype=np.float64), x.std(0, dtype=np.float64) + 1e-4
+    z = (x - mean.astype(np.float32)) / spread.astype(np.float32)  # 4-byte numbers: the sample is the driver's largest array
     w, b = np.zeros(x.shape[1]), 0.0
     m, v = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
     for t in range(1, rounds + 1):
-        p = 1 / (1 + np.exp(-np.clip(z @ w + b, -50, 50)))
-        g = np.r_[z.T @ (p - y) / len(y) + decay * w, (p - y).mean()]
+        p = 1 / (1 + np.exp(-np.clip(z @ w.astype(np.float32) + b, -50, 50)))
+        g = np.r_[z.T @ (p - y).astype(np.float32) / len(y) + decay * w, (p - y).mean()]
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         step = 0.03 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
         w, b = w - step[:-1], b - step[-1]
@@ -201,13 +201,13 @@ def fit_linear(x: np.ndarray, y: np.ndarray, rounds: int = 300, decay: float = 1
 
 
 def fit(df: DataFrame, text_col: str = "text") -> Scorer:
-    """Labellers over all texts, then the scorer on about TRAIN_TEXTS of them, chosen by the text's hash.
+    """Labellers over all texts, then the scorer on about TRAIN_TEXTS of them, chosen by the row's hash.
 
-    Equal texts are in the sample together or not at all.  Without any votes the scorer is neutral: 0.5
+    Without any votes the scorer is neutral: 0.5
     for every text with content.
     """
     bounded_batches(session_of(df))
-    texts = df.select(F.col(text_col).cast("string").alias("text")).where("text is not null")
+    texts = df.select(F.col(text_col).cast("string").alias("text"), row_hash(df).alias("_s")).where("text is not null")
 
     @F.arrow_udf("string")
     def vote(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -223,13 +223,13 @@ def fit(df: DataFrame, text_col: str = "text") -> Scorer:
             kept = [(features(t), v) for t in batch.column(0).to_pylist() if set(v := votes(t)) != {NONE}]
             yield pa.RecordBatch.from_arrays([pa.array([v for _, v in kept], pa.string()), pa.array([x.tobytes() for x, _ in kept], pa.binary())], names=["v", "x"])
 
-    sample = texts.where(hash_share(rows, TRAIN_TEXTS, F.col("text"))).mapInArrow(examples, "v string, x binary").toArrow()
+    sample = texts.where(hash_share(rows, TRAIN_TEXTS, F.col("_s"))).select("text").mapInArrow(examples, "v string, x binary").toArrow()
     y = np.array([labels.posterior(v) for v in sample["v"].to_pylist()])
     if len(y) == 0:
         return Scorer(np.zeros(DIMS + 2), 0.0, labels, np.zeros(DIMS + 2))
     x = np.frombuffer(b"".join(sample["x"].to_pylist()), np.float32).reshape(len(y), DIMS + 2)
     order = np.lexsort((x[:, 0], y))
-    weights, bias = fit_linear(x[order].astype(np.float64), y[order])
+    weights, bias = fit_linear(x[order], y[order])
     usual = (y @ x) / max(y.sum(), 1e-9)
     return Scorer(weights, bias, labels, usual)
 

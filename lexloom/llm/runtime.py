@@ -36,7 +36,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     spark = session_of(df)
     path = f"{shared_dir(spark)}/lexloom/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_path = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete what ``staged`` wrote for ``df``, once nothing that will still run reads it."""
+    jvm, path = df.sparkSession._jvm, df._staged_path
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def bounded_batches(spark: SparkSession) -> None:
@@ -45,6 +54,11 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def row_hash(df: DataFrame) -> Column:
+    """Hash of a whole row, so that equal texts of different rows are sampled one by one."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c, kind in df.dtypes if "map<" not in kind])
+
+
 def hash_share(rows: int, bound: int, *cols: Column) -> Column:
     """Deterministic sample predicate that keeps about ``bound`` of ``rows`` rows, chosen by hash."""
     if rows <= bound:

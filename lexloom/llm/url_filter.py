@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexloom.llm.runtime import bounded_batches, hash_share, session_of
+from lexloom.llm.runtime import bounded_batches, hash_share, row_hash, session_of
 
 ALLOW, BLOCK = "allow", "block"
 #: Labelled URLs the trees are fitted on, at most about so many of each verdict, chosen by hash.
@@ -153,11 +153,11 @@ def train(labelled: DataFrame, url_col: str = "url", verdict_col: str = "verdict
     Rows without a verdict are left out.  No labelled rows: everything is allowed; one verdict only:
     that verdict.
     """
-    rows = labelled.select(F.col(url_col).cast("string").alias("url"), F.col(verdict_col).alias("verdict")).where(F.col("verdict").isin(ALLOW, BLOCK)).withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
+    rows = labelled.select(F.col(url_col).cast("string").alias("url"), F.col(verdict_col).alias("verdict"), row_hash(labelled).alias("_s")).where(F.col("verdict").isin(ALLOW, BLOCK)).withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
     held = {r["verdict"]: r["n"] for r in rows.groupBy("verdict").agg(F.count(F.lit(1)).alias("n")).collect()}
     chosen = F.lit(False)
     for verdict, n in held.items():
-        chosen = chosen | ((F.col("verdict") == verdict) & hash_share(n, TRAIN_URLS, F.col("url")))
+        chosen = chosen | ((F.col("verdict") == verdict) & hash_share(n, TRAIN_URLS, F.col("_s")))
     t = rows.where(chosen).select("url", "host", "path", "verdict").toArrow().sort_by([("url", "ascending"), ("verdict", "ascending")])
     none = np.zeros((0, 2**DEPTH - 1))
     if not t.num_rows:
@@ -194,5 +194,5 @@ def judge(df: DataFrame, rules: dict[str, str], model: UrlModel, url_col: str =
 def judge_with_rule_labels(df: DataFrame, rules: dict[str, str], url_col: str = "url") -> DataFrame:
     """``judge`` with trees trained on the URLs of ``df`` that rules decide."""
     url = F.col(url_col).cast("string")
-    labelled = df.select(url.alias("url"), verdict_of(rule_for(host_of(url), path_of(url), rules), rules).alias("verdict"))
-    return judge(df, rules, train(labelled), url_col)
+    labelled = df.select("*", url.alias("_url"), verdict_of(rule_for(host_of(url), path_of(url), rules), rules).alias("_verdict"))
+    return judge(df, rules, train(labelled, "_url", "_verdict"), url_col)
