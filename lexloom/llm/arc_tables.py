@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexloom.llm import arc
-from lexloom.llm.runtime import bounded_batches, session_of, staged
+from lexloom.llm.runtime import bounded_batches, discard, session_of, staged
 
 #: One row per archive file; ``content`` is its gzip members one after the other.
 ARCHIVE_SCHEMA = "archive string, content binary"
@@ -91,13 +91,15 @@ def mark_revisits(records: DataFrame, min_bytes: int = 0) -> DataFrame:
     Of HTTP responses with equal payloads of at least ``min_bytes`` bytes the one with the largest
     ``record_key`` (ties: the largest record id) is the original.  Only digests meet in the shuffle of
     the aggregate, combined before it; the join back is on the digest, which adaptive execution
-    splits where one payload is very common.
+    splits where one payload is very common, or, where the written table of originals is small enough
+    for Spark to broadcast it, needs no shuffle of records at all.
     """
     small: Column = (F.col("type") == "response") & (F.col("payload_bytes") >= min_bytes)
     first = (
         records.where(small).groupBy("payload_sha1").agg(F.max(F.struct("record_key", "record_id", "url", "date")).alias("first"), F.count(F.lit(1)).alias("n"))
         .where("n > 1").select("payload_sha1", F.col("first.record_key").alias("first_key"), F.col("first.record_id").alias("first_id"), F.col("first.url").alias("first_url"), F.col("first.date").alias("first_date"))
     )
+    first = staged(first, "originals")
     other = small & F.col("first_id").isNotNull() & ~F.col("record_id").eqNullSafe(F.col("first_id"))
     joined = records.join(first, "payload_sha1", "left")
     return joined.select(*records.columns, *[F.when(other, F.col(c)).alias(c) for c in ("first_key", "first_id", "first_url", "first_date")])
@@ -174,5 +176,7 @@ def pages_through_archives(pages: DataFrame, key_col: str = "page_id", url_col:
     """
     legacy = staged(pages_to_arc(pages, key_col, url_col, body_col), "arc")
     complete = staged(arc_to_warc(legacy), "arc-as-warc")
+    discard(legacy)
     archives = staged(write_warc(mark_revisits(complete, min_bytes)), "warc")
+    discard(complete)
     return read_warc(archives, with_block=False).where("type in ('response', 'revisit')")
