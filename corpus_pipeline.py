@@ -10,15 +10,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexloom.llm import langid, quality, queries, sentencepiece_codec, simhash
-from lexloom.llm.runtime import staged
+from lexloom.llm import langid, quality, queries, sentencepiece_codec, verified
+from lexloom.llm.runtime import row_hash, staged
 
 #: Languages that training wants; others, and texts without letters, are rejected.
 LANGUAGES = ("en", "de", "fr", "es")
-#: Five-word shingles; two documents link if one of five fingerprints is within 7 bits.  A bit differs with
-#: probability angle / pi, so at a similarity of 0.8 a fingerprint is that close in 25 to 30 of 100 cases and
-#: one of five in about 80, at 0.85 in 95, and below 0.6 hardly ever; README has the measured figures.
-WORDS, FINGERPRINTS, MAX_BITS = 5, 5, 7
+#: Two documents link if eight tenths of the five-word shingles of both are common; README has the measured figures.
+WORDS, SIMILARITY_TENTHS = 5, 8
 #: Tenths of the remaining tokens that the mixture takes, each document once.
 KEPT_TENTHS = 9
 
@@ -36,10 +34,17 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of near duplicates."""
-    found = simhash.near_duplicates(docs, words=WORDS, max_bits=MAX_BITS, count=FINGERPRINTS)
-    firsts = found.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.dropDuplicates(["doc_id"]).join(firsts, "doc_id", "left_semi").select(docs.columns)
+    """Keeps the document with the smallest id of each group of near duplicates.
+
+    A null id comes after all others, and among rows of one id the smallest row hash decides: every group
+    keeps one row, whatever its ids.
+    """
+    found = verified.components(docs, WORDS, SIMILARITY_TENTHS)
+    keyed = docs.withColumn("row", row_hash(docs))
+    ids = found.join(keyed.select("row", "doc_id").distinct(), "row")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
+    firsts = ids.groupBy("component").agg(F.min(order).alias("first")).select("first.row")
+    return keyed.join(firsts, "row", "left_semi").dropDuplicates(["row"]).select(docs.columns)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
