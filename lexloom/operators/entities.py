@@ -118,7 +118,8 @@ def fuzzy_candidates(names: DataFrame, catalogue: DataFrame, *, n: int = 8, cuto
                 out += [(name, int(e), d, r, i + 1) for i, (e, (r, d)) in enumerate(ranked)]
             yield pd.DataFrame(out, columns=["name", "entity_id", "display", "ratio", "rank"])
 
-    return names.select("name", t.match_name(F.col("name")).alias("key")).mapInPandas(match, "name string, entity_id long, display string, ratio double, rank int")
+    parts = max(int(names.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    return names.select("name", t.match_name(F.col("name")).alias("key")).repartition(parts, "key").mapInPandas(match, "name string, entity_id long, display string, ratio double, rank int")
 
 
 def scoped_members(definitions: DataFrame, entities: DataFrame) -> DataFrame:

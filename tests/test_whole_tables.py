@@ -1,5 +1,6 @@
 """Queries without SQL against brute force on small tables that reach beyond one page and the first ids."""
 
+import difflib
 import random
 
 from lexloom.plans import more_queries  # noqa: F401
@@ -17,3 +18,20 @@ def test_layout_takes_all_words_of_all_documents(spark, tmp_path):
         pages = [" ".join(words[at : at + 192]) for at in range(0, len(words), 192)]
         want[str(i)] = "# Title\n\n" + "\n\n".join(f"<!-- Page {n} -->\n{p}" for n, p in enumerate(pages, 1)) + "\n"
     assert got == want
+
+
+def test_fuzzy_candidates_of_all_customers(spark, tmp_path):
+    suppliers = {i: f"Supplier#{i:09d}" for i in (1, 2, 3, 40, 500)}
+    customers = [f"Customer#{i:09d}" for i in (1, 299, 300, 500, 12345)]
+    spark.createDataFrame([(int(c[-9:]), c) for c in customers], "c_custkey long, c_name string").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame(list(suppliers.items()), "s_suppkey long, s_name string").write.parquet(f"{tmp_path}/supplier.parquet")
+    got = {}
+    for x in QUERIES["j13_fuzzy_candidates"](spark, str(tmp_path)).collect():
+        got.setdefault(x["name"], []).append((x["rank"], x["entity_id"], round(x["ratio"], 6)))
+    key = lambda name: name.lower().replace("#", "")
+    want = {}
+    for c in customers:
+        name = c.replace("Customer", "Suplier")
+        ranked = sorted((-difflib.SequenceMatcher(None, key(name), key(d)).ratio(), i) for i, d in suppliers.items())
+        want[name] = [(n, i, round(-r, 6)) for n, (r, i) in enumerate(((r, i) for r, i in ranked if -r >= 0.72), 1)]
+    assert {k: sorted(v) for k, v in got.items()} == want
