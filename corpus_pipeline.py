@@ -48,9 +48,10 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the documents that the target weights take, whole."""
-    taken = queries.mixed(docs, 1, KEPT_TENTHS).select("doc_id")
-    return docs.join(taken, "doc_id", "left_semi").select(docs.columns)
+    """Keeps the documents that the target weights take, whole; rows count one by one, whatever their ids."""
+    keyed = docs.withColumn("row", row_hash(docs))
+    taken = queries.mixed(keyed, 1, KEPT_TENTHS, "row").select("row")
+    return keyed.join(taken, "row", "left_semi").select(docs.columns)
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -45,13 +45,14 @@ def weight(name: Column, weights: dict[str, int]) -> Column:
     return out
 
 
-def mixed(docs: DataFrame, max_epochs: int, tenths: int) -> DataFrame:
+def mixed(docs: DataFrame, max_epochs: int, tenths: int, id_col: str = "doc_id") -> DataFrame:
     return mixing.mix(
         docs,
         levels={"domain": domain_of(F.col("source")), "lang": F.col("lang"), "source": F.col("source")},
         weights={"domain": weight(F.col("domain"), DOMAIN_WEIGHTS), "lang": weight(F.col("lang"), LANG_WEIGHTS), "source": weight(F.col("source"), SOURCE_WEIGHTS)},
         budget=F.expr(f"sum(cap) * {tenths} div 10"),
         tokens=mixing.word_count(F.col("text")),
+        id_col=id_col,
         max_epochs=max_epochs,
     )
 

@@ -60,3 +60,25 @@ def test_stage_equals_exact_similarity(spark, monkeypatch):
         assert not firsts - kept  # nothing is dropped that no similarity of 0.8 joins to another
         assert len(kept - firsts) <= 2  # of about 100 pairs at 0.8 and above
     assert len(firsts & set(range(len(texts) - 150, len(texts)))) == 150
+
+
+def test_null_and_repeated_ids_keep_their_documents(spark):
+    texts = {"a": "one two three four five six seven", "b": "eight nine ten eleven twelve thirteen", "c": "red green blue white black grey pink"}
+    rows = [(None, texts["a"]), (None, texts["b"]), (3, texts["b"]), (5, texts["a"]), (5, texts["c"]), (5, texts["c"]), (None, "q w e r t y u i o p")]
+    df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], SCHEMA)
+    kept = sorted(((r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicate_stage(spark, df, "").collect()), key=str)
+    assert kept == sorted([(3, texts["b"]), (5, texts["a"]), (5, texts["c"]), (None, "q w e r t y u i o p")], key=str)
+
+
+def test_mixing_keeps_null_ids_and_takes_the_budget(spark):
+    r = random.Random(5)
+    rows = [(None if i % 3 == 0 else i // 2, " ".join(f"w{r.randrange(10**6)}" for _ in range(r.randint(1, 40))), "en", f"src{i % 7}", 1) for i in range(600)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    kept = corpus_pipeline.mixing_stage(spark, df, "").collect()
+    words = lambda t: len(t.split())
+    total, taken = sum(words(x[1]) for x in rows), sum(words(k["text"]) for k in kept)
+    budget = total * corpus_pipeline.KEPT_TENTHS // 10
+    assert {tuple(k) for k in kept} <= set(rows) and len(kept) == len({tuple(k) for k in kept})
+    assert budget <= taken < budget + 40 * 7  # at most one document more for each leaf
+    nulls = sum(k["doc_id"] is None for k in kept)
+    assert 0.8 * 200 < nulls <= 200
