@@ -68,7 +68,7 @@ STAGES = [
     ("SentencePiece encoding", encoding_stage),
 ]
 
-#: Classifiers, fingerprints and encoding are not SQL; tests hold the stages against brute force.
+#: Classifiers, fingerprints and encoding are not SQL; tests hold near duplicates and mixing against brute force.
 ORACLE_SQL = None
 
 

@@ -5,7 +5,7 @@ import random
 import numpy as np
 
 import corpus_pipeline
-from lexloom.llm import simhash, verified
+from lexloom.llm import queries, simhash, verified
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -82,3 +82,33 @@ def test_mixing_keeps_null_ids_and_takes_the_budget(spark):
     assert budget <= taken < budget + 40 * 7  # at most one document more for each leaf
     nulls = sum(k["doc_id"] is None for k in kept)
     assert 0.8 * 200 < nulls <= 200
+
+
+def test_mixing_equals_brute_force_by_leaf(spark):
+    from test_models import fill
+
+    r = random.Random(6)
+    langs, sources = ("en", "de", "es", "it"), [f"src{i}" for i in (0, 1, 5, 11, 16, 30)]
+    rows = [(i, " ".join(["w"] * r.randint(1, 30)), r.choice(langs[: 1 + i % 4]), sources[r.randrange(6) * (i % 3) // 2], i) for i in range(1500)]
+    domain = lambda s: {0: "web", 1: "news", 2: "forum", 3: "reference"}.get(int(s[3:]) // 5, "other")
+    size = lambda t: len(t.split())
+    held: dict = {}
+    for _, text, lang, source, _ in rows:
+        leaf = (domain(source), lang, source)
+        held[leaf] = held.get(leaf, 0) + size(text)
+    weights = [queries.DOMAIN_WEIGHTS, queries.LANG_WEIGHTS, queries.SOURCE_WEIGHTS]
+
+    def share(path: tuple, budget: int) -> dict:
+        if len(path) == 3:
+            return {path: budget}
+        names = sorted({leaf[len(path)] for leaf in held if leaf[: len(path)] == path})
+        table = weights[len(path)]
+        cap = lambda n: sum(v for k, v in held.items() if k[: len(path) + 1] == (*path, n))
+        parts = fill([(n, table.get(n, table["*"]), cap(n)) for n in names], budget)
+        return {k: v for n in names for k, v in share((*path, n), parts[n]).items()}
+
+    want = share((), sum(held.values()) * corpus_pipeline.KEPT_TENTHS // 10)
+    got = dict.fromkeys(held, 0)
+    for k in corpus_pipeline.mixing_stage(spark, spark.createDataFrame(rows, SCHEMA), "").collect():
+        got[(domain(k["source"]), k["lang"], k["source"])] += size(k["text"])
+    assert all(want[k] <= got[k] < want[k] + 30 for k in held) and any(want[k] < held[k] for k in held)
