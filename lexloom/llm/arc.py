@@ -163,10 +163,10 @@ def record_id(archive: str, sequence: int, record: ArcRecord) -> str:
 
 
 def convert(archive: str, sequence: int, record: ArcRecord) -> WarcRecord:
-    """The WARC record that says what ``record`` says."""
+    """The WARC record that says what ``record`` says; only an archive's first record describes the file."""
     headers = {"WARC-Record-ID": record_id(archive, sequence, record), "WARC-Date": iso_date(record.date), "WARC-Block-Digest": f"sha1:{sha1_base32(record.block)}"}
     http = http_parts(record.block)
-    if record.url.startswith("filedesc://"):
+    if not sequence and record.url.startswith("filedesc://"):
         headers |= {"WARC-Type": "warcinfo", "WARC-Filename": record.url.removeprefix("filedesc://"), "Content-Type": "application/warc-fields"}
     else:
         headers["WARC-Target-URI"] = record.url

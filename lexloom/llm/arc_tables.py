@@ -167,16 +167,21 @@ def read_warc(archives: DataFrame, with_block: bool = True) -> DataFrame:
     return archives.select("archive", "content").mapInArrow(read, WARC_SCHEMA)
 
 
+def readable(kept: Column) -> Column:
+    """``kept`` for rows without ``error``; others fail the query."""
+    return F.when(F.col("error").isNotNull(), F.raise_error(F.concat(F.lit("archive "), "archive", F.lit(": "), "error"))).otherwise(kept)
+
+
 def pages_through_archives(pages: DataFrame, key_col: str = "page_id", url_col: str = "url", body_col: str = "html", min_bytes: int = 0) -> DataFrame:
     """``pages`` written as ARC, converted to WARC with revisits, and read back (WARC_SCHEMA without blocks).
 
     ARC and WARC archives are written to the shared folder; a lost executor costs a re-read, never a
     second set of identifiers.  A repeated key gives a record for each of its rows; empty tables give
-    empty archives.
+    empty archives.  An archive that can't be read on fails the query.
     """
     legacy = staged(pages_to_arc(pages, key_col, url_col, body_col), "arc")
     complete = staged(arc_to_warc(legacy), "arc-as-warc")
     discard(legacy)
-    archives = staged(write_warc(mark_revisits(complete, min_bytes)), "warc")
+    archives = staged(write_warc(mark_revisits(complete.where(readable(F.lit(True))), min_bytes)), "warc")
     discard(complete)
-    return read_warc(archives, with_block=False).where("type in ('response', 'revisit')")
+    return read_warc(archives, with_block=False).where(readable(F.col("type").isin("response", "revisit")))
