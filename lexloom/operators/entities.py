@@ -83,7 +83,7 @@ def resolution_ratio(duties: DataFrame, entities: DataFrame, aliases: DataFrame)
     return names.join(known, "_l", "left").agg(F.count(F.lit(1)).alias("names"), F.count_if("known").alias("resolved"))
 
 
-#: Largest catalogue sent to every worker; beyond it the names are compared shard by shard.
+#: Largest catalogue sent to every worker; a larger one is refused with an error.
 CATALOGUE_ROWS = 200_000
 
 
