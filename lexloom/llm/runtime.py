@@ -1,57 +1,67 @@
-"""Session helpers shared by the operators: the shared folder, Arrow batch bounds, sampling."""
+"""Session helpers shared by the operators: tables in the shared folder, sampling."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CHECKPOINT_CONF = "spark.checkpoint.dir"
-#: Upper bound of one Arrow batch sent to a Python worker; a longer single text still travels whole.
-BATCH_BYTES = 4 << 20
-BATCH_ROWS = 4096
+from lexloom.session import bounded_batches, shared_dir
+
+__all__ = ["SHARES", "bounded_batches", "discard", "hash_share", "row_hash", "row_key", "session_of", "share_limit", "shared_dir", "staged", "staged_alone"]
+
+#: Tables that ``staged`` wrote and nobody discarded yet: (session, path).
+_tables: list[tuple[SparkSession, str]] = []
 
 
 def session_of(df: DataFrame) -> SparkSession:
     return df.sparkSession
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """Folder that the driver and all executors share.
-
-    It is the cluster's ``spark.checkpoint.dir``.  Only where that is unset (tests on one
-    machine) a temporary folder is made and recorded in the same setting.
-    """
-    found = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF)
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="lexloom-")
-        spark.conf.set(CHECKPOINT_CONF, found)
-    return found.rstrip("/")
+def _place(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lineage ends here and any executor can go."""
+    """Write ``df`` to the shared folder and read it back: lineage ends here and any executor can go.
+
+    The table lives until ``discard``, or until the driver's JVM ends.
+    """
     spark = session_of(df)
     path = f"{shared_dir(spark)}/lexloom/{name}-{uuid.uuid4().hex}"
+    system, place = _place(spark, path)
     df.write.parquet(path)
+    system.deleteOnExit(place)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged_path = path
+    _tables.append((spark, path))
     return out
 
 
-def discard(df: DataFrame) -> None:
-    """Delete what ``staged`` wrote for ``df``, once nothing that will still run reads it."""
-    jvm, path = df.sparkSession._jvm, df._staged_path
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(place, True)
+def _delete(spark: SparkSession, path: str) -> None:
+    system, place = _place(spark, path)
+    system.delete(place, True)
+
 
+def discard(*tables: DataFrame) -> None:
+    """Delete what ``staged`` wrote for ``tables``, once nothing that will still run reads it."""
+    for df in tables:
+        _tables[:] = [t for t in _tables if t[1] != df._staged_path]
+        _delete(session_of(df), df._staged_path)
 
-def bounded_batches(spark: SparkSession) -> None:
-    """Bound Arrow batches by bytes and rows, so that a worker's memory does not follow text length."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+def staged_alone(make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """``staged(make())``; what ``make`` staged on its way is deleted once the result is written."""
+    mark = len(_tables)
+    out = staged(make(), name)
+    own = _tables.pop()
+    for spark, path in _tables[mark:]:
+        _delete(spark, path)
+    _tables[mark:] = [own]
+    return out
 
 
 def row_hash(df: DataFrame) -> Column:
@@ -59,9 +69,25 @@ def row_hash(df: DataFrame) -> Column:
     return F.xxhash64(*[F.col(f"`{c}`") for c, kind in df.dtypes if "map<" not in kind])
 
 
-def hash_share(rows: int, bound: int, *cols: Column) -> Column:
-    """Deterministic sample predicate that keeps about ``bound`` of ``rows`` rows, chosen by hash."""
-    if rows <= bound:
-        return F.lit(True)
-    limit = int(bound / rows * (1 << 31))
-    return F.pmod(F.xxhash64(*cols), F.lit(1 << 31)) < F.lit(limit)
+def row_key(df: DataFrame) -> Column:
+    """128 bits that name a row by its values; equal rows have one key."""
+    own = [F.col(f"`{c}`") for c, kind in df.dtypes if "map<" not in kind]
+    return F.struct(F.xxhash64(*own).alias("a"), F.xxhash64(F.lit(len(own)), *reversed(own)).alias("b"))
+
+
+#: Hashes are sampled by their remainder.
+SHARES = 1 << 31
+
+
+def share_limit(rows: int, bound: int) -> int:
+    """Rows whose hash has a remainder below it are about ``bound`` of ``rows`` rows."""
+    return SHARES if rows <= bound else int(bound / rows * SHARES)
+
+
+def hash_share(rows: int, bound: int, hashed: Column) -> Column:
+    """Deterministic sample predicate on ``hashed`` that keeps about ``bound`` of ``rows`` rows.
+
+    Rows of one hash come together or not at all, so a sample is bounded only after
+    ``dropDuplicates`` on the hash: then it has about ``bound`` rows whatever is repeated.
+    """
+    return F.pmod(hashed, F.lit(SHARES)) < F.lit(share_limit(rows, bound))
