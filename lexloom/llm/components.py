@@ -1,8 +1,8 @@
 """Connected components over an edge table, by alternating star contractions.
 
 Large-star hangs every larger neighbour of a node on the smallest node of its neighbourhood,
-small-star does the same with the smaller ones; repeated, every component ends as a star around its
-smallest node.  Each step is one aggregate (combined before its shuffle) and one join on the node, so
+small-star does the same with the smaller ones; repeated until nothing moves, every component ends as
+a star around its smallest node.  Each step is one aggregate (combined before its shuffle) and one join on the node, so
 a hub's rows can be split among tasks; no adjacency list is ever collected.  Rounds are written to
 the shared folder, and only a count and a checksum come to the driver.
 """
@@ -14,8 +14,6 @@ from pyspark.sql import functions as F
 
 from lexloom.llm.runtime import discard, staged
 
-MAX_ROUNDS = 60
-
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -38,7 +36,7 @@ def connected_components(edges: DataFrame, left: str, right: str) -> DataFrame:
     a, b = F.col(left).cast("long"), F.col(right).cast("long")
     now = staged(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"), a.alias("a"), b.alias("b")).where("a <> b").select("u", "v").distinct(), "edges")
     before = None
-    for _ in range(MAX_ROUNDS):
+    while True:
         seal = now.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
         if not seal["n"] or seal == before:
             return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(now.select("v", "v").distinct())
@@ -46,4 +44,3 @@ def connected_components(edges: DataFrame, left: str, right: str) -> DataFrame:
         after = staged(_small_star(_large_star(now).distinct()).distinct(), "edges")
         discard(now)
         now = after
-    raise RuntimeError("components did not settle")
