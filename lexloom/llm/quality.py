@@ -203,8 +203,8 @@ def fit_linear(x: np.ndarray, y: np.ndarray, rounds: int = 300, decay: float = 1
 def fit(df: DataFrame, text_col: str = "text") -> Scorer:
     """Labellers over all texts, then the scorer on about TRAIN_TEXTS of them, chosen by the row's hash.
 
-    Without any votes the scorer is neutral: 0.5
-    for every text with content.
+    Equal whole rows count once in the sample, so it stays as small whatever is repeated.  Without any
+    votes (an empty table, texts of a few words only) the scorer is neutral: 0.5 for every text with content.
     """
     bounded_batches(session_of(df))
     texts = df.select(F.col(text_col).cast("string").alias("text"), row_hash(df).alias("_s")).where("text is not null")
@@ -223,7 +223,7 @@ def fit(df: DataFrame, text_col: str = "text") -> Scorer:
             kept = [(features(t), v) for t in batch.column(0).to_pylist() if set(v := votes(t)) != {NONE}]
             yield pa.RecordBatch.from_arrays([pa.array([v for _, v in kept], pa.string()), pa.array([x.tobytes() for x, _ in kept], pa.binary())], names=["v", "x"])
 
-    sample = texts.where(hash_share(rows, TRAIN_TEXTS, F.col("_s"))).select("text").mapInArrow(examples, "v string, x binary").toArrow()
+    sample = texts.where(hash_share(rows, TRAIN_TEXTS, F.col("_s"))).dropDuplicates(["_s"]).select("text").mapInArrow(examples, "v string, x binary").toArrow()
     y = np.array([labels.posterior(v) for v in sample["v"].to_pylist()])
     if len(y) == 0:
         return Scorer(np.zeros(DIMS + 2), 0.0, labels, np.zeros(DIMS + 2))
@@ -235,7 +235,10 @@ def fit(df: DataFrame, text_col: str = "text") -> Scorer:
 
 
 def classify(df: DataFrame, scorer: Scorer, text_col: str = "text", out_col: str = "quality_score") -> DataFrame:
-    """``df`` with ``out_col`` (double, 0 to 1).  Null, empty and blank texts get 0.  No shuffle."""
+    """``df`` with ``out_col`` (double, 0 to 1); an existing column of that name is replaced.
+
+    Null, empty and blank texts get 0, repeated rows equal scores.  No shuffle.
+    """
     spark = session_of(df)
     bounded_batches(spark)
     shared = spark.sparkContext.broadcast(scorer)
