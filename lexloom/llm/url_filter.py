@@ -150,7 +150,7 @@ def fit_trees(x: np.ndarray, y: np.ndarray) -> tuple[float, np.ndarray, np.ndarr
 def train(labelled: DataFrame, url_col: str = "url", verdict_col: str = "verdict") -> UrlModel:
     """Trees from labelled URLs (verdicts ``allow`` and ``block``), about TRAIN_URLS of each, chosen by hash.
 
-    Rows without a verdict are left out.  No labelled rows: everything is allowed; one verdict only:
+    Equal whole rows count once in the sample.  Rows without a verdict are left out.  No labelled rows: everything is allowed; one verdict only:
     that verdict.
     """
     rows = labelled.select(F.col(url_col).cast("string").alias("url"), F.col(verdict_col).alias("verdict"), row_hash(labelled).alias("_s")).where(F.col("verdict").isin(ALLOW, BLOCK)).withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
@@ -158,7 +158,7 @@ def train(labelled: DataFrame, url_col: str = "url", verdict_col: str = "verdict
     chosen = F.lit(False)
     for verdict, n in held.items():
         chosen = chosen | ((F.col("verdict") == verdict) & hash_share(n, TRAIN_URLS, F.col("_s")))
-    t = rows.where(chosen).select("url", "host", "path", "verdict").toArrow().sort_by([("url", "ascending"), ("verdict", "ascending")])
+    t = rows.where(chosen).dropDuplicates(["_s"]).select("url", "host", "path", "verdict").toArrow().sort_by([("url", "ascending"), ("verdict", "ascending")])
     none = np.zeros((0, 2**DEPTH - 1))
     if not t.num_rows:
         return UrlModel(-10.0, none.astype(np.int64), none, np.zeros((0, 2**DEPTH)), {})
@@ -194,5 +194,5 @@ def judge(df: DataFrame, rules: dict[str, str], model: UrlModel, url_col: str =
 def judge_with_rule_labels(df: DataFrame, rules: dict[str, str], url_col: str = "url") -> DataFrame:
     """``judge`` with trees trained on the URLs of ``df`` that rules decide."""
     url = F.col(url_col).cast("string")
-    labelled = df.select("*", url.alias("_url"), verdict_of(rule_for(host_of(url), path_of(url), rules), rules).alias("_verdict"))
-    return judge(df, rules, train(labelled, "_url", "_verdict"), url_col)
+    labelled = df.select(url.alias("url"), row_hash(df).alias("seal"), verdict_of(rule_for(host_of(url), path_of(url), rules), rules).alias("verdict"))
+    return judge(df, rules, train(labelled), url_col)
