@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,12 +14,18 @@ from lexloom.llm.runtime import bounded_batches, discard, session_of, staged
 
 #: One row per archive file; ``content`` is its gzip members one after the other.
 ARCHIVE_SCHEMA = "archive string, content binary"
-RECORD_SCHEMA = "archive string, sequence long, url string, record_key long, record_id string, date string, type string, payload_bytes long, payload_sha1 string, member binary, error string"
+DIGEST_SCHEMA = "archive string, sequence long, url string, record_key long, record_id string, date string, type string, payload_bytes long, payload_sha1 string, error string"
 WARC_SCHEMA = "archive string, sequence long, record_id string, type string, url string, date string, record_key long, payload_bytes long, payload_digest string, refers_to string, refers_to_key long, block binary, error string"
+#: What a revisit says of the record that holds its payload, by its place in the archive.
+TARGET = ("sequence", "first_key", "first_id", "first_url", "first_date")
 #: Header that carries the row's own key through the archives.
 KEY_HEADER = "X-Record-Key"
 
 
+def _fields(schema: str) -> list[str]:
+    return [c.split(" ")[0] for c in schema.split(", ")]
+
+
 def _file(name: str, members: list[bytes]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([name]), pa.array([b"".join(members)], pa.binary())], names=["archive", "content"])
 
@@ -28,21 +34,20 @@ def pages_to_arc(pages: DataFrame, key_col: str, url_col: str, body_col: str, ve
     """ARC files (ARCHIVE_SCHEMA) of ``pages``, one for each Arrow batch of a few MB.
 
     ``version`` 1 or 2; None lets archives alternate.  A null body is an empty payload, a null url is
-    written as ``-``; a null key leaves its header out.
+    written as ``-``; a null key leaves its header out.  An archive is named by its task's partition and
+    the batch's number there, so archives of one job never share a name, whatever rows repeat.
     """
     bounded_batches(session_of(pages))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            keys, urls, bodies = (batch.column(i).to_pylist() for i in range(3))
-            seal = hashlib.sha1(repr((keys, [hashlib.sha1((b or "").encode()).digest() for b in bodies])).encode()).hexdigest()
-            name = f"pages-{seal[:20]}.arc.gz"
-            kind = version or 1 + int(seal[0], 16) % 2
+        task = TaskContext.get()
+        part = task.partitionId() if task else 0
+        for number, batch in enumerate(b for b in batches if b.num_rows):
+            name = f"pages-{part:06d}-{number:06d}.arc.gz"
+            kind = version or 1 + (part + number) % 2
             out = [arc.squeezed(arc.arc_filedesc(name, kind))]
             at = len(out[0])
-            for key, url, body in zip(keys, urls, bodies, strict=True):
+            for key, url, body in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 payload = (body or "").encode()
                 own = f"{KEY_HEADER}: {key}\r\n" if key is not None else ""
                 block = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n{own}Content-Length: {len(payload)}\r\n\r\n".encode() + payload
@@ -53,80 +58,86 @@ def pages_to_arc(pages: DataFrame, key_col: str, url_col: str, body_col: str, ve
     return pages.select(F.col(key_col).cast("long"), F.col(url_col).cast("string"), F.col(body_col).cast("string")).mapInArrow(write, ARCHIVE_SCHEMA)
 
 
-def arc_to_warc(archives: DataFrame) -> DataFrame:
-    """Every ARC record as a WARC record, still complete: RECORD_SCHEMA, ``member`` a WARC gzip member.
+def _records(content: bytes | None) -> Iterator[tuple[int, arc.ArcRecord]]:
+    """(sequence, record) of an ARC file; the first record declares the version of all."""
+    version, sequence = None, 0
+    for piece in arc.members(content or b""):
+        for record in arc.read_arc(piece, version):
+            version = record.version
+            yield sequence, record
+            sequence += 1
+
 
-    ``archives`` has ARCHIVE_SCHEMA; the first record of an archive declares the version of all.  Where
-    an archive can't be read on, a row with ``error`` ends it; other archives are not affected.
+def arc_digests(archives: DataFrame) -> DataFrame:
+    """DIGEST_SCHEMA: what each ARC record will be as a WARC record, and its payload's size and digest, without content.
+
+    Where an archive can't be read on, a row with ``error`` ends it; other archives are not affected.
     """
     bounded_batches(session_of(archives))
 
-    def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [c.split(" ")[0] for c in RECORD_SCHEMA.split(", ")]
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string()]
         for batch in batches:
             rows: list[tuple] = []
             for archive, content in zip(*(batch.column(i).to_pylist() for i in range(2)), strict=True):
-                version, sequence = None, 0
+                sequence = -1
                 try:
-                    for piece in arc.members(content or b""):
-                        for record in arc.read_arc(piece, version):
-                            version = record.version
-                            w = arc.convert(archive, sequence, record)
-                            http = arc.http_parts(record.block)
-                            payload = http[1] if http else record.block
-                            key = arc.http_header(http[0], KEY_HEADER) if http else None
-                            rows.append((archive, sequence, record.url, int(key) if key and key.lstrip("-").isdigit() else None, w.headers["WARC-Record-ID"], w.headers["WARC-Date"], w.headers["WARC-Type"], len(payload), arc.sha1_base32(payload), arc.squeezed(arc.warc_bytes(w)), None))
-                            sequence += 1
+                    for sequence, record in _records(content):
+                        headers = arc.convert(archive, sequence, record).headers
+                        http = arc.http_parts(record.block)
+                        key = arc.http_header(http[0], KEY_HEADER) if http else None
+                        digest = headers.get("WARC-Payload-Digest", headers["WARC-Block-Digest"]).removeprefix("sha1:")
+                        rows.append((archive, sequence, record.url, int(key) if key and key.lstrip("-").isdigit() else None, headers["WARC-Record-ID"], headers["WARC-Date"], headers["WARC-Type"], len(http[1] if http else record.block), digest, None))
                 except arc.ArcError as e:
-                    rows.append((archive, sequence, *[None] * 8, str(e)))
-            kinds = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.binary(), pa.string()]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
+                    rows.append((archive, sequence + 1, *[None] * 7, str(e)))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=_fields(DIGEST_SCHEMA))
 
-    return archives.select("archive", "content").mapInArrow(convert, RECORD_SCHEMA)
+    return archives.select("archive", "content").mapInArrow(read, DIGEST_SCHEMA)
 
 
-def mark_revisits(records: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """``records`` and, for those that revisit, the original's key, id, url and date.
+def find_revisits(digests: DataFrame, min_bytes: int = 0) -> DataFrame:
+    """(archive, TARGET columns) of the records that revisit another one.
 
     Of HTTP responses with equal payloads of at least ``min_bytes`` bytes the one with the largest
-    ``record_key`` (ties: the largest record id) is the original.  Only digests meet in the shuffle of
-    the aggregate, combined before it; the join back is on the digest, which adaptive execution
-    splits where one payload is very common, or, where the written table of originals is small enough
-    for Spark to broadcast it, needs no shuffle of records at all.
+    ``record_key`` (ties: the largest record id, which no two records share) is the original.  Names and
+    digests alone are shuffled, combined before it by the aggregate; the join back is on the digest,
+    which adaptive execution splits where one payload is very common.
     """
     small: Column = (F.col("type") == "response") & (F.col("payload_bytes") >= min_bytes)
+    own = digests.where(small)
     first = (
-        records.where(small).groupBy("payload_sha1").agg(F.max(F.struct("record_key", "record_id", "url", "date")).alias("first"), F.count(F.lit(1)).alias("n"))
+        own.groupBy("payload_sha1").agg(F.max(F.struct("record_key", "record_id", "url", "date")).alias("first"), F.count(F.lit(1)).alias("n"))
         .where("n > 1").select("payload_sha1", F.col("first.record_key").alias("first_key"), F.col("first.record_id").alias("first_id"), F.col("first.url").alias("first_url"), F.col("first.date").alias("first_date"))
     )
-    first = staged(first, "originals")
-    other = small & F.col("first_id").isNotNull() & ~F.col("record_id").eqNullSafe(F.col("first_id"))
-    joined = records.join(first, "payload_sha1", "left")
-    return joined.select(*records.columns, *[F.when(other, F.col(c)).alias(c) for c in ("first_key", "first_id", "first_url", "first_date")])
+    return own.join(first, "payload_sha1").where("record_id <> first_id").select("archive", *TARGET)
 
 
-def write_warc(marked: DataFrame) -> DataFrame:
-    """WARC archives (ARCHIVE_SCHEMA): marked records lose their payload and point at the original."""
-    bounded_batches(session_of(marked))
+def arc_to_warc(archives: DataFrame, revisits: DataFrame) -> DataFrame:
+    """WARC archives (ARCHIVE_SCHEMA), one for each ARC archive, every record converted.
 
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Records in ``revisits`` (archive, TARGET columns) lose their payload and point at the original.  The
+    revisits of an archive travel to it as one list, which is no longer than the archive; only archives
+    are matched, compressed as they are.  An archive that can't be read fails the job.
+    """
+    bounded_batches(session_of(archives))
+    lists = revisits.groupBy("archive").agg(F.collect_list(F.struct(*TARGET)).alias("targets"))
+    joined = archives.select("archive", "content").join(lists, "archive", "left")
+
+    def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            out = []
-            for member, key, rid, url, date in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
-                if rid is not None:
-                    (record,) = arc.read_warc(next(arc.members(member)))
-                    target = {"WARC-Refers-To": rid, "WARC-Refers-To-Target-URI": url, "WARC-Refers-To-Date": date}
-                    record = arc.revisit(record, target)
-                    if key is not None:
-                        record.extra["X-Refers-To-Key"] = str(key)
-                    member = arc.squeezed(arc.warc_bytes(record))
-                out.append(member)
-            name = f"pages-{hashlib.sha1(b''.join(hashlib.sha1(m).digest() for m in out)).hexdigest()[:20]}.warc.gz"
-            yield _file(name, out)
+            for archive, content, targets in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                known = {t["sequence"]: t for t in targets or ()}
+                out = []
+                for sequence, record in _records(content):
+                    w = arc.convert(archive, sequence, record)
+                    if t := known.get(sequence):
+                        w = arc.revisit(w, {"WARC-Refers-To": t["first_id"], "WARC-Refers-To-Target-URI": t["first_url"], "WARC-Refers-To-Date": t["first_date"]})
+                        if t["first_key"] is not None:
+                            w.extra["X-Refers-To-Key"] = str(t["first_key"])
+                    out.append(arc.squeezed(arc.warc_bytes(w)))
+                yield _file(archive.removesuffix(".arc.gz") + ".warc.gz", out)
 
-    return marked.where("member is not null").select("member", "first_key", "first_id", "first_url", "first_date").mapInArrow(write, ARCHIVE_SCHEMA)
+    return joined.select("archive", "content", "targets").mapInArrow(convert, ARCHIVE_SCHEMA)
 
 
 def read_warc(archives: DataFrame, with_block: bool = True) -> DataFrame:
@@ -138,7 +149,6 @@ def read_warc(archives: DataFrame, with_block: bool = True) -> DataFrame:
     bounded_batches(session_of(archives))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [c.split(" ")[0] for c in WARC_SCHEMA.split(", ")]
         kinds = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary(), pa.string()]
         for batch in batches:
             rows: list[tuple] = []
@@ -162,7 +172,7 @@ def read_warc(archives: DataFrame, with_block: bool = True) -> DataFrame:
                             sequence += 1
                 except (arc.ArcError, KeyError) as e:
                     rows.append((archive, sequence, *[None] * 10, str(e)))
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=_fields(WARC_SCHEMA))
 
     return archives.select("archive", "content").mapInArrow(read, WARC_SCHEMA)
 
@@ -177,11 +187,10 @@ def pages_through_archives(pages: DataFrame, key_col: str = "page_id", url_col:
 
     ARC and WARC archives are written to the shared folder; a lost executor costs a re-read, never a
     second set of identifiers.  A repeated key gives a record for each of its rows; empty tables give
-    empty archives.  An archive that can't be read on fails the query.
+    empty archives; other columns are left aside.  An archive that can't be read on fails the query.
     """
     legacy = staged(pages_to_arc(pages, key_col, url_col, body_col), "arc")
-    complete = staged(arc_to_warc(legacy), "arc-as-warc")
-    discard(legacy)
-    archives = staged(write_warc(mark_revisits(complete.where(readable(F.lit(True))), min_bytes)), "warc")
-    discard(complete)
+    revisits = staged(find_revisits(arc_digests(legacy).where(readable(F.lit(True))), min_bytes), "revisits")
+    archives = staged(arc_to_warc(legacy, revisits), "warc")
+    discard(legacy, revisits)
     return read_warc(archives, with_block=False).where(readable(F.col("type").isin("response", "revisit")))
