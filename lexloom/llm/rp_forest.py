@@ -34,9 +34,12 @@ LEAF = 256
 BLOCK = 1024
 #: Spill in units of the spread that a linked pair shows along a random direction.
 SPILL = 1.0
-MAX_DEPTH = 20
+#: A leaf of 256 vectors is reached for a label of 10^12 vectors.
+MAX_DEPTH = 41
+#: Bits of a leaf's path in its code; the tree's number comes above.
+PATH_BITS = 48
 #: Vectors that medians are taken from, at most about so many, chosen by hash.
-FIT_VECTORS = 8192
+FIT_VECTORS = 16384
 #: Fewest sampled vectors in a node whose own median is used; below it the whole level's is.
 FIT_NODE = 16
 #: Share of a node that goes to one side, spill included, about.
@@ -68,8 +71,8 @@ def fit_tree(sample: np.ndarray, depth: int, seed: int) -> Tree:
     for level in range(depth):
         at = sample @ directions[level]
         level_cut.append(float(np.median(at)) if len(at) else 0.0)
-        known = np.full(1 << min(level, 12), np.nan)
-        if level <= 12:
+        known = np.full(1 << min(level, 10), np.nan)
+        if level <= 10:
             order = np.argsort(node, kind="stable")
             edges = np.searchsorted(node[order], np.arange(len(known) + 1))
             for k in range(len(known)):
@@ -140,46 +143,49 @@ def vector_links(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
     Vectors link if their labels are equal and not null, they have the same length, and their cosine
     is at least ``threshold``.  Null, zero and non-finite vectors, those with null components and rows
     without a label or id have no links and are components of their own.  Equal vectors of a label are
-    compared once and counted by their number, so repeated rows link with each other.
+    one node, compared once and counted by the number of rows, so repeated rows link with each other.
+    Links belong to rows: an id that occurs with several vectors has a row, links and a component for
+    each.  Other columns are left aside; an empty table gives an empty result.
+    A plan is made for each length of vector that occurs.
     """
     spark = session_of(df)
     bounded_batches(spark)
     v = F.col("v")
+    kind = "array<float>" if df.schema[vector_col].dataType.simpleString() == "array<float>" else "array<double>"
     sound = F.col("id").isNotNull() & F.col("label").isNotNull() & F.coalesce(F.forall(v, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))) & F.exists(v, lambda c: c != 0), F.lit(False))
-    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("string").alias("label"), F.col(vector_col).cast("array<double>").alias("v")).withColumn("sound", sound)
-    whole = staged(rows.where("sound").groupBy("label", "v").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies")), "vectors").withColumn("dim", F.size("v"))
+    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("string").alias("label"), F.col(vector_col).cast(kind).alias("v")).withColumn("sound", sound)
+    # Two hashes, 128 bits, name a vector of a label, so that rows find their node without its vector.
+    own = rows.where("sound").select("id", "label", "v", F.xxhash64("label", "v").alias("h"), F.xxhash64(F.lit(seed), "v", "label").alias("g"))
+    nodes = own.groupBy("h", "g").agg(F.first("label").alias("label"), F.first("v").alias("v"), F.min("id").alias("least"), F.count(F.lit(1)).alias("copies"))
+    whole = staged(nodes.withColumn("rep", F.monotonically_increasing_id()), "vectors").withColumn("dim", F.size("v"))
     sizes = whole.groupBy("dim", "label").agg(F.count(F.lit(1)).alias("n"))
     most = sizes.groupBy("dim").agg(F.sum("n").alias("n"), F.max("n").alias("largest")).collect()  # a row for each length of vector
     depth_of = F.least(F.lit(MAX_DEPTH), F.greatest(F.lit(0), F.ceil(F.log(F.col("n") / F.lit(float(LEAF))) / F.lit(-math.log(SHRINK))))).cast("int")
-    parts = [_links_of(whole.where(F.col("dim") == m["dim"]).join(sizes.select("dim", "label", depth_of.alias("depth")), ["dim", "label"]), m["dim"], m["n"], m["largest"], threshold, trees, seed) for m in most]
-    if parts:
-        found = parts[0]
-        for p in parts[1:]:
-            found = found.union(p)
-    else:
-        found = spark.createDataFrame([], "rep long, links long, root long")
+    parts = [_links_of(whole.where(F.col("dim") == m["dim"]).join(sizes.select("dim", "label", depth_of.alias("depth")), ["dim", "label"]), kind, m["dim"], m["n"], m["largest"], threshold, trees, seed) for m in most]
+    found = parts[0] if parts else spark.createDataFrame([], "rep long, links long, root long")
+    for p in parts[1:]:
+        found = found.union(p)
     found = staged(found, "vector-links")
     counts = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    components = connected_components(found.where("root <> rep"), "rep", "root")
-    named = (
-        whole.join(counts, "rep", "left").join(components.withColumnRenamed("node", "rep"), "rep", "left")
-        .select("label", "v", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
+    joined = connected_components(found.where("root <> rep"), "rep", "root").join(whole.select(F.col("rep").alias("node"), "least"), "node")
+    named = joined.join(joined.groupBy("component").agg(F.min("least").alias("component_id")), "component").select(F.col("node").alias("rep"), "component_id")
+    linked = (
+        whole.select("h", "g", "rep", "least", "copies").join(counts, "rep", "left").join(named, "rep", "left")
+        .select("h", "g", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component_id", "least").alias("component_id"))
     )
-    linked = rows.where("sound").join(named, ["label", "v"]).select("id", "n_links", "component_id")
+    own = own.select("id", "h", "g").join(linked, ["h", "g"]).select("id", "n_links", "component_id")
     alone = rows.where("not sound").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
-    return linked.union(alone).select(F.col("id").alias(id_col), "n_links", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
+    return own.union(alone).select(F.col("id").alias(id_col), "n_links", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
-def _links_of(vectors: DataFrame, dim: int, rows: int, largest: int, threshold: float, trees: int, seed: int) -> DataFrame:
+def _links_of(vectors: DataFrame, kind: str, dim: int, rows: int, largest: int, threshold: float, trees: int, seed: int) -> DataFrame:
     """(rep, links, root) for each vector and comparison in which it has links."""
     spark = session_of(vectors)
     depth = depth_for(largest)
-    sample = vectors.where(hash_share(rows, FIT_VECTORS, F.col("rep"))).select("rep", "v").toArrow().combine_chunks()
+    sample = vectors.where(hash_share(rows, FIT_VECTORS, F.col("h"))).select("h", "g", "v").toArrow().combine_chunks().sort_by([("h", "ascending"), ("g", "ascending")]).combine_chunks()
     column = sample.column("v")
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     units = _units(column) if sample.num_rows else np.zeros((0, dim))
-    if sample.num_rows:
-        units = units[np.argsort(sample.column("rep").to_numpy(), kind="stable")]
     forest = spark.sparkContext.broadcast([fit_tree(units, depth, seed + t) for t in range(trees)])
     spill = SPILL * math.sqrt(max(0.0, 2 - 2 * threshold)) / math.sqrt(dim)
 
@@ -191,7 +197,7 @@ def _links_of(vectors: DataFrame, dim: int, rows: int, largest: int, threshold:
             for t, tree in enumerate(forest.value):
                 row, leaf = leaves(tree, x, to, spill)
                 found_row.append(row)
-                found_code.append(leaf | np.int64(t << 32))
+                found_code.append(leaf | np.int64(t << PATH_BITS))
             row, code = np.concatenate(found_row), np.concatenate(found_code)
             order = np.lexsort((code, row))
             offsets = np.r_[0, np.cumsum(np.bincount(row, minlength=len(x)))].astype(np.int32)
