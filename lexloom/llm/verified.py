@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from lexloom.llm import simhash
 from lexloom.llm.components import connected_components
-from lexloom.llm.runtime import bounded_batches, row_hash, session_of, staged
+from lexloom.llm.runtime import bounded_batches, row_key, session_of, staged
 
 #: Fingerprints of 64 bits in a sketch.
 WORDS64 = 6
@@ -86,23 +86,32 @@ def shingle_sets(df: DataFrame, text_col: str, words: int, out_col: str) -> Data
     return df.withColumn(out_col, made(F.col(text_col)))
 
 
-def forest_of_met(key: np.ndarray, node: np.ndarray, sketch: np.ndarray, loose: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows sorted by key: spanning forest of the pairs that share a key and differ in ``loose`` bits at most."""
-    edge = np.flatnonzero(np.r_[True, key[1:] != key[:-1], True])
-    size = np.diff(edge)
-    run = np.repeat(np.arange(len(size)), size)
-    small = size[run] <= simhash.SMALL
+def forest_of_met(key: np.ndarray, node: np.ndarray, sketch: np.ndarray, loose: int, cut: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Rows sorted by key: spanning forest of the pairs that share a key and differ in ``loose`` bits at most.
+
+    With ``cut`` one key's rows, paired across it only.
+    """
     found = [(node[:0], node[:0])]
-    for shift in range(1, min(simhash.SMALL, int(size.max(initial=1)))):
-        i = np.flatnonzero((run[shift:] == run[:-shift]) & small[shift:])
-        i = i[distances(sketch[i], sketch[i + shift]) <= loose]
-        found.append((node[i], node[i + shift]))
-    for r in np.flatnonzero(size > simhash.SMALL):
-        for lo in range(edge[r], edge[r + 1], BLOCK):
-            for at in range(lo, edge[r + 1], BLOCK):
-                ours, theirs = slice(lo, min(lo + BLOCK, edge[r + 1])), slice(at, min(at + BLOCK, edge[r + 1]))
-                i, j = np.nonzero(distances(sketch[ours][:, None], sketch[theirs][None, :]) <= loose)
-                found.append(simhash._forest(node[lo + i], node[at + j]))
+
+    def blocks(lo: int, hi: int) -> None:
+        for x in range(lo, cut or hi, BLOCK):
+            for y in range(cut or x, hi, BLOCK):
+                i, j = np.nonzero(distances(sketch[x : min(x + BLOCK, cut or hi)][:, None], sketch[y : min(y + BLOCK, hi)][None, :]) <= loose)
+                found.append(simhash._forest(node[x + i], node[y + j]))
+
+    if cut:
+        blocks(0, len(node))
+    else:
+        edge = np.flatnonzero(np.r_[True, key[1:] != key[:-1], True])
+        size = np.diff(edge)
+        run = np.repeat(np.arange(len(size)), size)
+        small = size[run] <= simhash.SMALL
+        for shift in range(1, min(simhash.SMALL, int(size.max(initial=1)))):
+            i = np.flatnonzero((run[shift:] == run[:-shift]) & small[shift:])
+            i = i[distances(sketch[i], sketch[i + shift]) <= loose]
+            found.append((node[i], node[i + shift]))
+        for r in np.flatnonzero(size > simhash.SMALL):
+            blocks(int(edge[r]), int(edge[r + 1]))
     return simhash._forest(*(np.concatenate(x) for x in zip(*found, strict=True)))
 
 
@@ -140,57 +149,24 @@ def verified_forest(sketch: np.ndarray, sets: list[np.ndarray], part: np.ndarray
 
 def candidates(nodes: DataFrame, similarity: float, loose: int) -> DataFrame:
     """Edges (a, b) that join those of ``nodes`` (node long, fps array of distinct sketches) that may be similar."""
-    spark = session_of(nodes)
-    bounded_batches(spark)
     chosen = bands(nodes.count(), similarity)
     names = [f"f{i}" for i in range(WORDS64)]
-
-    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                sketch = np.stack([batch.column(1 + i).to_numpy().view(np.uint64) for i in range(WORDS64)], 1)
-                for key in band_keys(sketch, chosen):
-                    yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), *batch.columns], names=["key", "node", *names])
-
-    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.Table] = []  # rows of the last key so far
-
-        def out(tables: list[pa.Table]) -> pa.RecordBatch:
-            key, node, *fps = (c.to_numpy() for c in pa.concat_tables(tables).combine_chunks().columns)
-            a, b = forest_of_met(key, node, np.stack([f.view(np.uint64) for f in fps], 1), loose)
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            if not table.num_rows:
-                continue
-            key = table.column("key").to_numpy()
-            cut = int(np.searchsorted(key, key[-1], side="left"))
-            if cut:
-                yield out([*held, table.slice(0, cut)])
-                held = []
-            elif held and held[0].column("key")[0].as_py() != key[0]:
-                yield out(held)
-                held = []
-            held.append(table.slice(cut))
-        if held:
-            yield out(held)
-
-    keyed = nodes.select("node", *[F.col("fps")[i].alias(c) for i, c in enumerate(names)]).mapInArrow(index, "key long, node long, " + ", ".join(f"{c} long" for c in names))
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    return keyed.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(link, "a long, b long")
+    rows = nodes.select("node", *[F.col("fps")[i].alias(c) for i, c in enumerate(names)])
+    return simhash.links_by_key(rows, names, lambda sketch: band_keys(sketch, chosen), lambda key, node, sketch, cut: forest_of_met(key, node, sketch, loose, cut))
 
 
 def components(docs: DataFrame, words: int, tenths: int, text_col: str = "text") -> DataFrame:
-    """(row, component): the hash of each row of ``docs`` and a number for its group of near duplicates.
+    """(row, component): ``row_key`` of each row of ``docs`` and a number for its group of near duplicates.
 
-    Texts link if at least ``tenths`` tenths of the distinct shingles of both are common; texts without
-    words link with each other.  Texts of equal sketches are one node.
+    Texts link if at least ``tenths`` tenths of the distinct shingles of both are common; null and empty
+    texts, and others without words, link with each other.  Texts of equal sketches are one node.
+    Repeated rows have one key; ids and clashing names of other columns play no part; an empty table has
+    no components.
     """
     loose = int(SKETCH_BITS * LOOSE)
-    keyed = docs.select(row_hash(docs).alias("row"), F.col(text_col).cast("string").alias("text"))
-    own = staged(sketches(keyed, "text", words, "fps").select("row", F.xxhash64("fps").alias("node"), "fps"), "sketches")
-    nodes = staged(own.groupBy("node").agg(F.first("fps").alias("fps"), F.min("row").alias("row")), "nodes")
+    keyed = docs.select(row_key(docs).alias("row"), F.col(text_col).cast("string").alias("text"))
+    own = staged(sketches(keyed, "text", words, "fps").select("row", "fps"), "sketches")
+    nodes = staged(own.groupBy("fps").agg(F.min("row").alias("row")).withColumn("node", F.monotonically_increasing_id()), "nodes")
     groups = staged(connected_components(candidates(nodes, tenths / 10, loose), "a", "b").withColumnRenamed("component", "g"), "groups")
     blocks = groups.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     placed = groups.join(blocks, "g").withColumn("part", F.expr("cast(pmod(xxhash64(node), blocks) as int)")).join(nodes, "node")
@@ -207,4 +183,5 @@ def components(docs: DataFrame, words: int, tenths: int, text_col: str = "text")
 
     links = dealt.select("g", "lo", "hi", "node", "part", "fps", "shingles").groupBy("g", "lo", "hi").applyInArrow(verify, "a long, b long")
     parts = connected_components(links, "a", "b")
-    return own.join(parts, "node", "left").select("row", F.coalesce("component", "node").alias("component"))
+    named = nodes.join(parts, "node", "left").select("fps", F.coalesce("component", "node").alias("component"))
+    return own.join(named, "fps").select("row", "component")
