@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexloom.llm.runtime import staged
+from lexloom.llm.runtime import discard, staged
 
 #: Hex digits of the order hash that name a bucket: 4,096 buckets a leaf.
 BUCKET_DIGITS = 3
@@ -61,63 +61,71 @@ def divide_budget(children: DataFrame, parent: list[str], name: str, weight: str
     return w.withColumn(out, share.cast("long")).select(*children.columns, out)
 
 
-def tree_budgets(leaves: DataFrame, levels: list[str], weights: dict[str, Column], budget: Column) -> DataFrame:
-    """``leaves`` (levels, cap) with ``share``, each leaf's budget; ``weights`` gives a whole-number Column for each level.
+def tree_budgets(leaves: DataFrame, levels: list[str], weights: list[str], cap: str, budget: int) -> DataFrame:
+    """``levels`` of ``leaves`` with ``share``, each leaf's part of ``budget``; ``weights`` names a whole-number column for each level.
 
-    ``budget`` is an aggregate over ``leaves``, such as a literal or a part of ``sum(cap)``.
+    A window works on the children of one parent: on names, never on documents.
     """
-    held = leaves
-    for level in levels:
-        held = held.withColumn(f"_w_{level}", weights[level].cast("long"))
-    held = held.withColumn("cap", F.when(F.least(F.lit(1), *[F.col(f"_w_{x}") for x in levels]) > 0, F.col("cap")).otherwise(0))
-    total = leaves.agg(budget.cast("long").alias("b")).first()["b"] or 0  # one number
+    held = leaves.withColumn("_c", F.when(F.least(F.lit(1), *[F.col(w) for w in weights]) > 0, F.col(cap)).otherwise(0))
     above = None
-    for depth, level in enumerate(levels):
+    for depth, (level, weight) in enumerate(zip(levels, weights, strict=True)):
         path = levels[: depth + 1]
-        level_rows = held.groupBy(*path).agg(F.sum("cap").alias("cap"), F.max(f"_w_{level}").alias("_w"))
+        level_rows = held.groupBy(*path).agg(F.sum("_c").alias("_sum"), F.max(weight).alias("_w"))
         parent = path[:-1]
         if above is not None:
             matched = [level_rows[c].eqNullSafe(above[c]) for c in parent]
-            children = level_rows.join(above, matched).select(*[level_rows[c] for c in path], level_rows["cap"], "_w", "_budget")
+            children = level_rows.join(above, matched).select(*[level_rows[c] for c in path], level_rows["_sum"], "_w", "_budget")
         else:
-            children = level_rows.withColumn("_budget", F.lit(total))
-        above = divide_budget(children, parent, level, "_w", "cap", "_budget").select(*path, F.col("share").alias("_budget"))
+            children = level_rows.withColumn("_budget", F.lit(budget))
+        above = divide_budget(children, parent, level, "_w", "_sum", "_budget", "_share").select(*path, F.col("_share").alias("_budget"))
     return above.withColumnRenamed("_budget", "share")
 
 
+#: Columns of ``mix``'s result beside the id and the levels.
+TAKEN = ("n_tokens", "full_epochs", "partial_tokens", "tokens_taken")
+
+
 def mix(df: DataFrame, levels: dict[str, Column], weights: dict[str, Column], budget: Column, tokens: Column, id_col: str = "doc_id", seed: str = "mix", max_epochs: int = 1) -> DataFrame:
     """(id_col, levels, n_tokens, full_epochs, partial_tokens, tokens_taken) of the documents taken.
 
-    ``levels`` names the tree from the top, each a Column over ``df`` (null is a value of its own).
-    ``tokens`` measures a document.  A leaf holds ``max_epochs`` times its tokens; ``budget`` is an
-    aggregate over the leaves' ``cap``.  A document is taken ``full_epochs`` times whole and once more
-    up to ``partial_tokens`` (all of it but for the one at the prefix's end).  Documents without
-    tokens, of weight 0 or beyond the prefix give no row; repeated rows count one by one; null ids
-    take part under an empty name.  Text is read once; what is shuffled are ids, leaves and counts.
+    ``levels`` names the tree from the top, each a Column over ``df`` (null is a value of its own); the
+    ``weights`` are whole-number Columns over those names.  ``tokens`` measures a document.  A leaf holds
+    ``max_epochs`` times its tokens; ``budget`` is an aggregate over the leaves' ``cap``.  A document is
+    taken ``full_epochs`` times whole and once more up to ``partial_tokens`` (all of it but for the one at
+    the prefix's end).  Documents without tokens (null and empty texts), of weight 0 or beyond the prefix
+    give no row; repeated rows count one by one; null ids take part under an empty name; an empty table
+    gives no rows.  Level names may be any but those of the result's own columns.  Text is read once;
+    what is shuffled are ids, leaves and counts.
     """
-    names = list(levels)
-    rows = staged(df.select(F.col(id_col).cast("long").alias("_id"), *[c.cast("string").alias(n) for n, c in levels.items()], tokens.cast("long").alias("n_tokens")).where("n_tokens > 0"), "mix-rows")
-    leaves = staged(rows.groupBy(*names).agg(F.sum("n_tokens").alias("_held"), (F.sum("n_tokens") * max_epochs).alias("cap")), "mix-leaves")
-    shares = tree_budgets(leaves.select(*names, "cap"), names, weights, budget)
+    if clash := set(levels) & {id_col, *TAKEN}:
+        raise ValueError(f"levels must not be named {', '.join(sorted(clash))}")
+    names, own, weighed = list(levels), [f"_l{i}" for i in range(len(levels))], [f"_w{i}" for i in range(len(levels))]
+    rows = staged(df.select(F.col(id_col).cast("long").alias("_id"), *[c.cast("string").alias(o) for o, c in zip(own, levels.values(), strict=True)], tokens.cast("long").alias("n_tokens")).where("n_tokens > 0"), "mix-rows")
+    named = rows.groupBy(*own).agg(F.sum("n_tokens").alias("_held")).select(*[F.col(o).alias(n) for o, n in zip(own, names, strict=True)], F.col("_held").alias("_h"))
+    leaves = named.select(*[F.col(f"`{n}`").alias(o) for o, n in zip(own, names, strict=True)], *[weights[n].cast("long").alias(w) for w, n in zip(weighed, names, strict=True)], F.col("_h").alias("_held"), (F.col("_h") * max_epochs).alias("cap"))
+    leaves = staged(leaves, "mix-leaves")
+    total = leaves.select("cap").agg(budget.cast("long").alias("b")).first()["b"] or 0  # one number
+    shares = tree_budgets(leaves, own, weighed, "cap", total)
     plan = staged(
-        leaves.alias("l").join(shares.alias("s"), [F.col(f"l.{n}").eqNullSafe(F.col(f"s.{n}")) for n in names])
-        .select(*[F.col(f"l.{n}") for n in names], F.expr("share div _held").alias("_full"), (F.col("share") % F.col("_held")).alias("_part"))
+        leaves.alias("l").join(shares.alias("s"), [F.col(f"l.{n}").eqNullSafe(F.col(f"s.{n}")) for n in own])
+        .select(*[F.col(f"l.{n}") for n in own], F.expr("share div _held").alias("_full"), (F.col("share") % F.col("_held")).alias("_part"))
         .where("_full > 0 or _part > 0"), "mix-plan"
     )
     hexed = F.md5(F.concat_ws(":", F.lit(seed), F.col("_full").cast("string"), F.coalesce(F.col("_id").cast("string"), F.lit(""))).cast("binary"))
     dealt = (
-        rows.alias("r").join(plan.alias("p"), [F.col(f"r.{n}").eqNullSafe(F.col(f"p.{n}")) for n in names])
-        .select("_id", *[F.col(f"r.{n}") for n in names], "n_tokens", "_full", "_part", hexed.alias("_h")).withColumn("_bucket", F.substring("_h", 1, BUCKET_DIGITS))
+        rows.alias("r").join(plan.alias("p"), [F.col(f"r.{n}").eqNullSafe(F.col(f"p.{n}")) for n in own])
+        .select("_id", *[F.col(f"r.{n}") for n in own], "n_tokens", "_full", "_part", hexed.alias("_h")).withColumn("_bucket", F.substring("_h", 1, BUCKET_DIGITS))
     )
     dealt = staged(dealt, "mix-dealt")
-    buckets = dealt.groupBy(*names, "_bucket").agg(F.sum("n_tokens").alias("_n"))
-    start = F.coalesce(F.sum("_n").over(Window.partitionBy(*names).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = buckets.select(*names, "_bucket", start.alias("_start"))
-    inside = Window.partitionBy(*names, "_bucket").orderBy("_h", F.col("_id").asc_nulls_first(), "n_tokens").rowsBetween(Window.unboundedPreceding, 0)
+    discard(rows, leaves, plan)
+    buckets = dealt.groupBy(*own, "_bucket").agg(F.sum("n_tokens").alias("_n"))
+    # At most 4,096 sums a leaf, however many documents it holds.
+    start = F.coalesce(F.sum("_n").over(Window.partitionBy(*own).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = buckets.select(*own, "_bucket", start.alias("_start"))
+    inside = Window.partitionBy(*own, "_bucket").orderBy("_h", F.col("_id").asc_nulls_first(), "n_tokens").rowsBetween(Window.unboundedPreceding, 0)
     summed = dealt.withColumn("_upto", F.sum("n_tokens").over(inside))
-    at = summed.alias("d").join(starts.alias("b"), [*[F.col(f"d.{n}").eqNullSafe(F.col(f"b.{n}")) for n in names], F.col("d._bucket") == F.col("b._bucket")])
+    at = summed.alias("d").join(starts.alias("b"), [*[F.col(f"d.{n}").eqNullSafe(F.col(f"b.{n}")) for n in own], F.col("d._bucket") == F.col("b._bucket")])
     partial = F.greatest(F.lit(0).cast("long"), F.least(F.col("n_tokens"), F.col("_part") - F.col("_start") - F.col("_upto") + F.col("n_tokens")))
-    return (
-        at.select(F.col("_id").alias(id_col), *[F.col(f"d.{n}") for n in names], "n_tokens", F.col("_full").alias("full_epochs"), partial.alias("partial_tokens"))
-        .withColumn("tokens_taken", F.col("full_epochs") * F.col("n_tokens") + F.col("partial_tokens")).where("tokens_taken > 0")
-    )
+    taken = at.select("_id", *[F.col(f"d.{n}") for n in own], "n_tokens", F.col("_full").alias("full_epochs"), partial.alias("partial_tokens"))
+    taken = taken.withColumn("tokens_taken", F.col("full_epochs") * F.col("n_tokens") + F.col("partial_tokens")).where("tokens_taken > 0")
+    return taken.select(F.col("_id").alias(id_col), *[F.col(o).alias(n) for o, n in zip(own, names, strict=True)], *TAKEN)
