@@ -76,19 +76,22 @@ def packbits_encode(data: bytes) -> bytes:
     return bytes(out)
 
 
-def packbits_decode(data: bytes) -> bytes:
-    out, at, end = [], 0, len(data)
-    while at < end:
+def packbits_decode(data: bytes, most: int) -> bytes:
+    """At least the first ``most`` bytes, if there are so many."""
+    out, at, end, made = [], 0, len(data), 0
+    while at < end and made < most:
         n = data[at]
         at += 1
         if n < 128:
             out.append(data[at : at + n + 1])
             at += n + 1
+            made += n + 1
         elif n > 128:
             if at >= end:
                 raise TiffError("PackBits packet is cut off")
             out.append(data[at : at + 1] * (257 - n))
             at += 1
+            made += 257 - n
     return b"".join(out)
 
 
@@ -134,8 +137,10 @@ def lzw_encode(data: bytes) -> bytes:
 _SINGLE = [bytes((i,)) for i in range(256)] + [b"", b""]
 
 
-def lzw_decode(data: bytes) -> bytes:
+def lzw_decode(data: bytes, most: int) -> bytes:
+    """At least the first ``most`` bytes, if there are so many."""
     out: list[bytes] = []
+    made = 0
     table = _SINGLE.copy()
     width, hold, bits, limit = 9, 0, 0, 511
     before = b""
@@ -151,13 +156,14 @@ def lzw_decode(data: bytes) -> bytes:
             table = _SINGLE.copy()
             width, limit, before = 9, 511, b""
             continue
-        if code == END:
+        if code == END or made >= most:
             return b"".join(out)
         if not before:
             if code > 255:
                 raise TiffError("LZW stream starts with a code that is not yet defined")
             before = table[code]
             out.append(before)
+            made += 1
             continue
         size = len(table)
         if code < size:
@@ -169,6 +175,7 @@ def lzw_decode(data: bytes) -> bytes:
         else:
             raise TiffError("LZW code beyond the table")
         out.append(now)
+        made += len(now)
         before = now
         if size + 2 >= limit and width < 12:
             width += 1
@@ -176,19 +183,24 @@ def lzw_decode(data: bytes) -> bytes:
     return b"".join(out)
 
 
-def decode_segment(data: bytes, compression: int) -> bytes:
+#: Most bytes that a byte of each codec can stand for: the longest run of a packet, of a deflate block, of a table's string.
+MOST_FROM_BYTE = {RAW: 1, PACKBITS: 64, DEFLATE: 1032, DEFLATE_OLD: 1032, LZW: 2731}
+
+
+def decode_segment(data: bytes, compression: int, need: int) -> bytes:
+    """The first ``need`` bytes of a segment; whatever its codec would make beyond them is not made."""
+    if need > MOST_FROM_BYTE[compression] * len(data):
+        raise TiffError("a segment is too short")
     if compression == RAW:
         return data
     if compression == PACKBITS:
-        return packbits_decode(data)
+        return packbits_decode(data, need)
     if compression == LZW:
-        return lzw_decode(data)
-    if compression in (DEFLATE, DEFLATE_OLD):
-        try:
-            return zlib.decompress(data)
-        except zlib.error as e:
-            raise TiffError(f"deflate: {e}") from e
-    raise TiffError(f"compression {compression} is not supported")
+        return lzw_decode(data, need)
+    try:
+        return zlib.decompressobj().decompress(data, need)
+    except zlib.error as e:
+        raise TiffError(f"deflate: {e}") from e
 
 
 def encode_segment(data: bytes, compression: int) -> bytes:
@@ -298,15 +310,17 @@ def _page(f: _File, index: int, tags: dict[int, list[int]]) -> Page:
     planes, depth = (samples, 1) if planar == 2 else (1, samples)
     if len(offsets) < planes * across * down or len(sizes) < len(offsets):
         raise TiffError("segments are missing")
-    if width * height * samples * dtype.itemsize > 1200 * max(len(f.data), 1) + (1 << 20):
-        raise TiffError("the page is larger than its file can hold")
+    if compression not in MOST_FROM_BYTE:
+        raise TiffError(f"compression {compression} is not supported")
+    if width * height * samples * dtype.itemsize > MOST_FROM_BYTE[compression] * sum(min(n, len(f.data)) for n in sizes[: planes * across * down]):
+        raise TiffError("the page is larger than its segments can hold")
     image = np.zeros((height, width, samples), dtype)
     for k in range(planes * across * down):
         plane, spot = divmod(k, across * down)
         y, x = spot // across * seg_h, spot % across * seg_w
         rows = seg_h if tiled else min(seg_h, height - y)
-        raw = decode_segment(f.data[offsets[k] : offsets[k] + sizes[k]], compression)
         need = rows * seg_w * depth * dtype.itemsize
+        raw = decode_segment(f.data[offsets[k] : offsets[k] + sizes[k]], compression, need)
         if len(raw) < need:
             raise TiffError("a segment is too short")
         block = np.frombuffer(raw, dtype, rows * seg_w * depth).reshape(rows, seg_w, depth)
@@ -397,7 +411,8 @@ PAGE_FIELDS = [
 def tiff_pages(df: DataFrame, content_col: str = "content", keep: list[str] | None = None) -> DataFrame:
     """One row per page of every TIFF in ``content_col``: the ``keep`` columns, then PAGE_FIELDS.
 
-    ``keep`` defaults to all other columns; names that clash with a page field are kept with the
+    A page's pixels come in the file's sample type and byte order; equal files give equal rows, an empty
+    table none.  ``keep`` defaults to all other columns; names that clash with a page field are kept with the
     prefix ``in_``.  A null, foreign or damaged file gives one row with ``error`` set and null page
     fields; a damaged page gives its error and the pages after it still come.  No shuffle.
     """
@@ -427,12 +442,12 @@ def tiff_pages(df: DataFrame, content_col: str = "content", keep: list[str] | No
 def payload_tiff(payload: bytes, row_bytes: int = 192) -> bytes:
     """``payload``, a positive multiple of ``row_bytes``, as one RGB page of 8-bit samples.
 
-    Codec, layout and predictor follow from the payload's own checksum, so equal payloads give equal
-    files.  Every codec is in use; the shares (LZW 1/8, PackBits 3/8, deflate 1/2, of which a quarter
-    with predictor) weigh the time of a code-by-code decoder against its range.
+    Codec, predictor and layout follow from the payload's own checksum, so equal payloads give equal
+    files.  The four codecs have the same share, as have strips and tiles, and predictors 1 and 2 for LZW
+    and deflate, the codecs for which the format defines one.
     """
     pick = zlib.crc32(payload)
     image = np.frombuffer(payload, np.uint8).reshape(-1, row_bytes // 3, 3)
-    compression = (LZW, PACKBITS, PACKBITS, PACKBITS, DEFLATE, DEFLATE, DEFLATE, DEFLATE)[pick % 8]
-    predictor = 2 if compression == DEFLATE and (pick >> 8) % 4 == 0 else 1
-    return write_tiff([image], compression, predictor, (row_bytes // 3, 16) if (pick >> 11) % 2 else None)
+    compression = (RAW, LZW, PACKBITS, DEFLATE)[pick % 4]
+    predictor = 1 + (pick >> 2) % 2 if compression in (LZW, DEFLATE) else 1
+    return write_tiff([image], compression, predictor, (row_bytes // 3, 16) if (pick >> 3) % 2 else None)
