@@ -34,12 +34,42 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def pattern_of(spec: dict) -> str:
+    """The pre-token pattern of a tokenizers file; ValueError for files that say more than this counter does.
+
+    Read are byte-level BPE models whose pre-tokenizer is ByteLevel with its own pattern, or a Split by a
+    pattern of the file's before a ByteLevel without one.  Normalizers, prefix spaces, dropout, prefixes
+    and suffixes of words, and added tokens with conditions are refused, since ignoring them would miscount.
+    """
+    model, pre = spec["model"], spec.get("pre_tokenizer") or {}
+    odd = [k for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "fuse_unk", "byte_fallback", "ignore_merges") if model.get(k)]
+    odd += [k for k in ("normalizer", "truncation", "padding") if spec.get(k)]
+    odd += [f"added token {t['content']}" for t in spec.get("added_tokens", []) if any(t.get(k) for k in ("single_word", "lstrip", "rstrip"))]
+    if model.get("type", "BPE") != "BPE":
+        odd.append(f"model {model['type']}")
+    steps = pre["pretokenizers"] if pre.get("type") == "Sequence" else [pre]
+    byte_level = steps[-1].get("type") == "ByteLevel" and not steps[-1].get("add_prefix_space")
+    pattern = None
+    if byte_level and len(steps) == 1 and steps[0].get("use_regex", True):
+        pattern = PATTERN
+    elif byte_level and len(steps) == 2 and steps[0].get("type") == "Split" and not steps[1].get("use_regex", True):
+        own = steps[0]
+        if "Regex" in own["pattern"] and (own["behavior"], own.get("invert", False)) == ("Isolated", False):
+            pattern = own["pattern"]["Regex"]
+    if pattern is None:
+        odd.append("pre_tokenizer")
+    if odd:
+        raise ValueError(f"not supported in a tokenizer file: {', '.join(odd)}")
+    return pattern
+
+
 class RankMerger:
     """Counts BPE tokens of pre-tokens; ``path`` is a tokenizers .json file with a byte-level BPE model."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        self.pattern = regex.compile(pattern_of(spec))
         vocab, merges = spec["model"]["vocab"], spec["model"]["merges"]
         self.symbol = np.zeros(256, np.int64)
         for char, byte in byte_alphabet().items():
@@ -53,7 +83,6 @@ class RankMerger:
         self.keys, self.ranks, self.made = key[order], order.astype(np.int64), made
         self.specials = sorted((t["content"] for t in spec.get("added_tokens", [])), key=len, reverse=True)
         self.special_split = regex.compile("|".join(map(regex.escape, self.specials))) if self.specials else None
-        self.pattern = regex.compile(PATTERN)
         self.memo: dict[str, int] = {}
 
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -92,6 +121,16 @@ class RankMerger:
             rank[stale] = np.where(joined, self.rank(sym[stale], sym[stale_next]), NO_RANK)
         return counts
 
+    def pieces(self, part: str) -> list[str]:
+        """What the pattern matches in ``part``, and what lies between matches."""
+        if self.pattern.pattern == PATTERN:  # which matches everything
+            return self.pattern.findall(part)
+        out, at = [], 0
+        for m in self.pattern.finditer(part):
+            out += [part[at : m.start()], m.group()]
+            at = m.end()
+        return [x for x in (*out, part[at:]) if x]
+
     def count(self, texts: list[str | None]) -> list[int]:
         """Tokens of each text, special strings inside it counted as one token each."""
         bags: list[tuple[Counter, int]] = []
@@ -100,7 +139,7 @@ class RankMerger:
             parts = self.special_split.split(text) if text and self.special_split else [text or ""]
             bag: Counter = Counter()
             for part in parts:
-                bag.update(self.pattern.findall(part))
+                bag.update(self.pieces(part))
             bags.append((bag, len(parts) - 1))
             for piece in bag:
                 if piece not in self.memo:
@@ -127,7 +166,7 @@ def merger(path: str) -> RankMerger:
 def token_counts(df: DataFrame, tokenizer_path: str, text_col: str = "text", out_col: str = "n_tokens") -> DataFrame:
     """``df``'s rows with ``out_col`` (long), the number of tokens of ``text_col``.
 
-    A null text counts as empty: 0 tokens.  Other columns pass through; an existing ``out_col`` is
+    A null or empty text has 0 tokens, equal texts have equal counts, an empty table stays empty.  Other columns pass through; an existing ``out_col`` is
     replaced.  Rows stay where they are: no shuffle.  A worker holds one Arrow batch and a memo of at
     most MEMO_ENTRIES short pre-tokens.
     """
@@ -139,5 +178,4 @@ def token_counts(df: DataFrame, tokenizer_path: str, text_col: str = "text", out
         for batch in texts:
             yield pa.array(m.count(batch.to_pylist()), pa.int64())
 
-    n_tokens_typed = n_tokens
-    return df.withColumn(out_col, n_tokens_typed(F.col(text_col)))
+    return df.withColumn(out_col, n_tokens(F.col(text_col)))
