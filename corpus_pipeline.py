@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexloom.llm import langid, quality, queries, sentencepiece_codec, verified
-from lexloom.llm.runtime import row_hash, staged
+from lexloom.llm.runtime import row_hash, row_key, staged_alone
 
 #: Languages that training wants; others, and texts without letters, are rejected.
 LANGUAGES = ("en", "de", "fr", "es")
@@ -36,11 +36,11 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each group of near duplicates.
 
-    A null id comes after all others, and among rows of one id the smallest row hash decides: every group
-    keeps one row, whatever its ids.
+    A null id comes after all others, and among rows of one id the smallest row key decides: every group
+    keeps one row, whatever its ids.  Null and empty texts are one group; an empty table stays empty.
     """
     found = verified.components(docs, WORDS, SIMILARITY_TENTHS)
-    keyed = docs.withColumn("row", row_hash(docs))
+    keyed = docs.withColumn("row", row_key(docs))
     ids = found.join(keyed.select("row", "doc_id").distinct(), "row")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
     firsts = ids.groupBy("component").agg(F.min(order).alias("first")).select("first.row")
@@ -75,5 +75,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs = staged_alone(lambda stage=stage, docs=docs: stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs
