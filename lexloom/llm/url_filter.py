@@ -49,10 +49,9 @@ def rule_for(host: Column, path: Column, rules: dict[str, str]) -> Column:
 
 
 def verdict_of(rule: Column, rules: dict[str, str]) -> Column:
-    out = F.lit(None).cast("string")
-    for name, verdict in rules.items():
-        out = F.when(rule == name, F.lit(verdict)).otherwise(out)
-    return out
+    if not rules:
+        return F.lit(None).cast("string")
+    return F.create_map(*[F.lit(x) for pair in rules.items() for x in pair])[rule]
 
 
 @dataclass
@@ -193,6 +192,6 @@ def judge(df: DataFrame, rules: dict[str, str], model: UrlModel, url_col: str =
 
 def judge_with_rule_labels(df: DataFrame, rules: dict[str, str], url_col: str = "url") -> DataFrame:
     """``judge`` with trees trained on the URLs of ``df`` that rules decide."""
-    url = F.col(url_col).cast("string")
-    labelled = df.select(url.alias("url"), row_hash(df).alias("seal"), verdict_of(rule_for(host_of(url), path_of(url), rules), rules).alias("verdict"))
-    return judge(df, rules, train(labelled), url_col)
+    rows = df.select(F.col(url_col).cast("string").alias("url"), row_hash(df).alias("seal")).withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
+    decided = rows.withColumn("rule", rule_for(F.col("host"), F.col("path"), rules)).where("rule is not null")
+    return judge(df, rules, train(decided.select("url", "seal", verdict_of(F.col("rule"), rules).alias("verdict"))), url_col)
