@@ -23,6 +23,8 @@ from dataclasses import dataclass, field
 #: WARC's revisit profile, and the date used where a record's own can't be read.
 PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 UNKNOWN_DATE = "19700101000000"
+#: Level of compression, and bytes that a decompressor is fed at a time.
+LEVEL, STEP = 2, 1 << 14
 NAMESPACE = uuid.uuid5(uuid.NAMESPACE_URL, "urn:lexloom:arc-record")
 
 
@@ -57,25 +59,34 @@ def sha1_base32(data: bytes) -> str:
 
 def squeezed(data: bytes) -> bytes:
     """A gzip member without a time stamp: equal records give equal bytes."""
-    return gzip.compress(data, 6, mtime=0)
+    return gzip.compress(data, LEVEL, mtime=0)
 
 
 def members(data: bytes) -> Iterator[bytes]:
-    """The content of each gzip member in turn; data that is not compressed is passed as one piece."""
+    """The content of each gzip member in turn; data that is not compressed is passed as one piece.
+
+    The decompressor is fed in steps, since it hands back a copy of what it did not use.
+    """
     if data[:2] != b"\x1f\x8b":
         if data:
             yield data
         return
-    while data:
+    view, at = memoryview(data), 0
+    while at < len(data):
+        if data[at] in b"\0\n\r":
+            at += 1
+            continue
         d = zlib.decompressobj(31)
-        try:
-            out = d.decompress(data)
-        except zlib.error as e:
-            raise ArcError(f"gzip member: {e}") from e
-        if not d.eof:
-            raise ArcError("gzip member is cut off")
-        yield out
-        data = d.unused_data.lstrip(b"\0\n\r")
+        out = []
+        while not d.eof:
+            if at >= len(data):
+                raise ArcError("gzip member is cut off")
+            try:
+                out.append(d.decompress(view[at : at + STEP]))
+            except zlib.error as e:
+                raise ArcError(f"gzip member: {e}") from e
+            at = min(at + STEP, len(data)) - len(d.unused_data)
+        yield b"".join(out)
 
 
 # --- ARC ------------------------------------------------------------------------------------------
@@ -157,14 +168,15 @@ def http_header(head: bytes, name: str) -> str | None:
     return found[1] if found else None
 
 
-def record_id(archive: str, sequence: int, record: ArcRecord) -> str:
-    """The same for the same record at the same place, so a repeated conversion gives the same ids."""
-    return f"<urn:uuid:{uuid.uuid5(NAMESPACE, ' '.join((archive, str(sequence), record.url, record.date, sha1_base32(record.block))))}>"
+def record_id(archive: str, sequence: int, record: ArcRecord, digest: str) -> str:
+    """The same for the same record at the same place, so a repeated conversion gives the same ids; ``digest`` is the block's."""
+    return f"<urn:uuid:{uuid.uuid5(NAMESPACE, ' '.join((archive, str(sequence), record.url, record.date, digest)))}>"
 
 
 def convert(archive: str, sequence: int, record: ArcRecord) -> WarcRecord:
     """The WARC record that says what ``record`` says; only an archive's first record describes the file."""
-    headers = {"WARC-Record-ID": record_id(archive, sequence, record), "WARC-Date": iso_date(record.date), "WARC-Block-Digest": f"sha1:{sha1_base32(record.block)}"}
+    digest = sha1_base32(record.block)
+    headers = {"WARC-Record-ID": record_id(archive, sequence, record, digest), "WARC-Date": iso_date(record.date), "WARC-Block-Digest": f"sha1:{digest}"}
     http = http_parts(record.block)
     if not sequence and record.url.startswith("filedesc://"):
         headers |= {"WARC-Type": "warcinfo", "WARC-Filename": record.url.removeprefix("filedesc://"), "Content-Type": "application/warc-fields"}
