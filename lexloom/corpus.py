@@ -136,10 +136,14 @@ class Corpus:
     def ingest_duties(self, paths: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
         return entities.load_duties(entities.staged_duties(files.read_duties(self.spark, paths)[0]), self.table("documents"))
 
-    def poll(self, landed: str, state: str, checkpoint: str) -> DataFrame | None:
-        """First event of each document among publication events landed as Parquet (document_id, updated, ...)."""
+    def poll(self, landed: str, state: str, checkpoint: str, taken: DataFrame | None = None, since: str | None = None, types: tuple[str, ...] | None = documents.TYPES) -> DataFrame | None:
+        """Documents due among the publication events landed as Parquet (document_id, legislation_type, updated, ...).
+
+        ``taken`` (document_id, updated) says what was ingested before; a document published again since is due again.
+        """
         schema = self.spark.read.parquet(landed).schema
-        return poll.poll(self.spark.readStream.schema(schema).parquet(landed), poll.TableState(self.spark, state), checkpoint)
+        seen = poll.poll(self.spark.readStream.schema(schema).parquet(landed), poll.TableState(self.spark, state, ["document_id", "updated"]), checkpoint, since=since, types=types)
+        return None if seen is None else poll.to_ingest(seen, taken)
 
     def counts(self) -> DataFrame:
         out = None

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +9,7 @@ from lexloom.functions import text as t
 from lexloom.operators import coverage, entities, keyed, layout, publish
 from lexloom.plans.adapters import Tables, sql
 from lexloom.plans.queries import query
+from lexloom.session import shared_dir
 from lexloom.sources import clml, feeds, files
 from lexloom.streaming import poll
 
@@ -537,7 +536,7 @@ def b16(tb: Tables) -> DataFrame:
 
 
 def shared(tb: Tables) -> str:
-    return tb.spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="lexloom-stream-")
+    return shared_dir(tb.spark)
 
 
 def event_stream(tb: Tables) -> DataFrame:
@@ -548,20 +547,23 @@ def event_stream(tb: Tables) -> DataFrame:
 @query("e1_poll_publication_log", "select user_id as document_id, event_id, event_type from (select *, row_number() over (partition by user_id order by ts, event_id) as n from events where event_type <> 'error') where n = 1")
 def e1(tb: Tables) -> DataFrame:
     root = poll.work_dir(tb.spark, shared(tb), "poll")
-    stream = event_stream(tb).where("event_type <> 'error'").selectExpr("user_id as document_id", "ts as updated", "event_id", "event_type")
-    state = poll.TableState(tb.spark, f"{root}/state")
-    done = poll.poll(stream, state, f"{root}/checkpoint", order=[F.col("updated"), F.col("event_id")])
-    return done.select("document_id", "event_id", "event_type")
+    stream = event_stream(tb).selectExpr("user_id as document_id", "ts as updated", "event_id", "event_type")
+    state = poll.TableState(tb.spark, f"{root}/state", ["document_id", "event_id"])
+    seen = poll.poll(stream.where("event_type <> 'error'"), state, f"{root}/checkpoint", since="1900-01-01")
+    return poll.to_ingest(seen.select("document_id", "updated", "event_id", "event_type"), None).select("document_id", "event_id", "event_type")
 
 
 @query("e2_replayed_upsert", "select user_id, max(event_id) as event_id from events group by user_id")
 def e2(tb: Tables) -> DataFrame:
+    # Six files in batches of two; a second query with a checkpoint of its own brings rows that the first did not.
     root = poll.work_dir(tb.spark, shared(tb), "replay")
-    state = poll.TableState(tb.spark, f"{root}/state")
-    each = poll.upsert_by(state, ["user_id"], [F.col("event_id").desc()])
-    stream = event_stream(tb).select("user_id", "event_id")
-    poll.run_available(stream, each, f"{root}/a")
-    poll.run_available(stream, each, f"{root}/b")
+    tb.read("events").select("user_id", "event_id").repartition(6, "event_id").write.parquet(f"{root}/landed")
+    stream = tb.spark.readStream.schema("user_id long, event_id long").option("maxFilesPerTrigger", 2).parquet(f"{root}/landed")
+    state = poll.TableState(tb.spark, f"{root}/state", ["user_id"], [F.col("event_id").desc()], latest=True)
+    some = stream.where("user_id % 2 = 0")
+    for rows, checkpoint in ((some, "a"), (some, "a"), (stream, "b")):
+        poll.run_available(rows, poll.into(state), f"{root}/{checkpoint}")
+    state.compact()
     return state.read()
 
 

@@ -93,17 +93,63 @@ def test_layout_table(spark):
     assert got == {"p": "# T\n\n<!-- Page 1 -->\nSome text.\n", "q": "\n"}
 
 
-def test_poll_is_idempotent(spark, tmp_path):
-    schema = "document_id long, updated string, n int"
-    land = lambda n, rows: spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / "in" / f"b={n}"))
-    land(1, [(1, "2020-01-02", 1), (1, "2020-01-01", 2), (2, "2020-01-01", 3)])
-    stream = lambda: spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
-    state = poll.TableState(spark, str(tmp_path / "state"))
-    first = poll.poll(stream(), state, str(tmp_path / "c"))
+EVENT = "document_id long, legislation_type string, updated string, n int"
+
+
+def landing(spark, tmp_path):
+    def land(n, rows):
+        spark.createDataFrame(rows, EVENT).coalesce(1).write.parquet(str(tmp_path / "in" / f"b={n}"))
+
+    return land, lambda: spark.readStream.schema(EVENT).option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
+
+
+def test_poll_takes_events_once_and_publications_again(spark, tmp_path):
+    land, stream = landing(spark, tmp_path)
+    land(1, [(1, "ukpga", "2020-01-02", 1), (1, "ukpga", "2020-01-01", 2), (2, "uksi", "2020-01-01", 3), (9, "eur", "2020-01-01", 0), (8, "uksi", "2019-12-31", 0)])
+    state = poll.TableState(spark, str(tmp_path / "state"), ["document_id", "updated"])
+    ask = lambda: poll.poll(stream(), state, str(tmp_path / "c"), since="2020-01-01", types=("ukpga", "uksi"))
+    first = poll.to_ingest(ask(), None)
     assert {r["document_id"]: r["n"] for r in first.collect()} == {1: 2, 2: 3}
-    assert {r["document_id"] for r in poll.poll(stream(), state, str(tmp_path / "c")).collect()} == {1, 2}
-    land(2, [(3, "2020-02-01", 4), (1, "2020-02-01", 5)])
-    assert {r["document_id"]: r["n"] for r in poll.poll(stream(), state, str(tmp_path / "c")).collect()} == {1: 2, 2: 3, 3: 4}
+    taken = spark.createDataFrame([(1, "2020-01-02"), (2, "2020-01-01")], "document_id long, updated string")
+    assert poll.to_ingest(ask(), taken).count() == 0
+    land(2, [(3, "uksi", "2020-02-01", 4), (1, "ukpga", "2020-02-01", 5), (1, "ukpga", "2020-02-02", 6)])
+    assert {r["document_id"]: r["n"] for r in poll.to_ingest(ask(), taken).collect()} == {1: 5, 3: 4}
+    assert [d[2] for d in state.deltas()] == [0, 1]
+
+
+def test_state_takes_new_data_behind_another_checkpoint(spark, tmp_path):
+    land, stream = landing(spark, tmp_path)
+    state = poll.TableState(spark, str(tmp_path / "state"), ["document_id"], [F.col("updated").desc()], latest=True)
+    land(1, [(1, "x", "2020-01-01", 1)])
+    poll.run_available(stream(), poll.into(state), str(tmp_path / "a"))
+    land(2, [(2, "x", "2020-01-01", 2), (1, "x", "2019-01-01", 3), (1, "x", "2020-01-01", 4)])
+    poll.run_available(stream().where("n > 1"), poll.into(state), str(tmp_path / "b"))
+    assert {r["document_id"]: r["n"] for r in state.read().collect()} == {1: 4, 2: 2}  # 3 is older, 4 equally old but later
+    poll.run_available(stream(), poll.into(state), str(tmp_path / "a"))
+    assert {r["document_id"]: r["n"] for r in state.read().collect()} == {1: 4, 2: 2}
+
+
+def test_replayed_batch_writes_nothing_and_compaction_forgets_nothing(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(poll, "COMPACT_EVERY", 3)
+    state = poll.TableState(spark, str(tmp_path / "state"), ["document_id"], [F.col("updated").desc()], latest=True)
+    make = lambda k: spark.createDataFrame([(k % 4, "x", f"2020-01-{k + 1:02d}", k)], EVENT)
+    for k in range(8):
+        assert state.write(make(k), "one", k) and not state.write(make(90), "one", k)
+        assert {r["n"] for r in state.read().collect()} == set(range(max(0, k - 3), k + 1))
+    assert state.write(make(20), "two", 0) and not state.write(make(21), "one", 7)
+    assert state.applied() == {"one": 7, "two": 0} and state.snapshots() == [5, 8]
+    assert not [n for n in state._names() if n.startswith("d=") and int(n[2:].split("-")[0]) < 6]
+
+
+def test_half_written_snapshot_does_not_count(spark, tmp_path):
+    state = poll.TableState(spark, str(tmp_path / "state"), ["document_id"])
+    make = lambda k: spark.createDataFrame([(k, "x", "2020-01-01", k)], EVENT)
+    state.write(make(1), "q", 0)
+    make(7).write.parquet(str(tmp_path / "state" / "s=000000000000"))
+    state.write(make(2), "q", 1)
+    assert {r["n"] for r in state.read().collect()} == {1, 2}
+    state.compact()
+    assert {r["n"] for r in state.read().collect()} == {1, 2} and state.deltas() == []
 
 
 def test_failure_reports(spark):
