@@ -47,7 +47,7 @@ class Tables:
         )
 
     def texts(self) -> DataFrame:
-        return self.provisions().select("text_sha256", "markdown").distinct()
+        return self.read("lineitem").selectExpr("concat(l_returnflag, l_linestatus) as markdown").distinct().selectExpr("sha2(markdown, 256) as text_sha256", "markdown")
 
     def effects(self) -> DataFrame:
         lines = self.read("lineitem").selectExpr("*", "concat_ws(':', l_orderkey, l_linenumber, l_partkey, l_suppkey, cast(l_shipdate as date), cast(round(l_extendedprice * 100) as bigint)) as effect_id")

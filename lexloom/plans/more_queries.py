@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexloom.functions import text as t
+from lexloom.functions import dates, text as t
 from lexloom.operators import coverage, entities, keyed, layout, publish
 from lexloom.plans.adapters import Tables, sql
 from lexloom.plans.queries import query
@@ -43,14 +43,12 @@ def t6(tb: Tables) -> DataFrame:
     return provisions_of(tb).select("doc_id", "ordinal", "number", "provision_type", "extent", "anchor")
 
 
-TEXT_STEPS = [(r"(?s)\A---\n.*?\n---\n", ""), (r"(?s)```.*?```", " "), (r"`([^`]*)`", r"\1"), (r"!\[[^\]]*\]\([^)]+\)", " "), (r"\[([^\]]+)\]\([^)]+\)", r"\1"), (r"(?m)^#+\s*", ""), (r"(?m)^>\s*", ""), (r"[*_~#>-]+", " "), (r"\s+", " ")]
-
-
 def plain_sql(column: str) -> str:
-    out = column
-    for a, b in TEXT_STEPS:
-        out = f"regexp_replace({out}, '{a}', '{b}', 'g')"
-    return f"trim({out})"
+    """Words of Markdown: what is fenced or an image goes, code and links stay as text, marks and spaces part words."""
+    unfenced = f"regexp_replace(regexp_replace({column}, '(?s)\\A---\\n.*?\\n---\\n', ''), '(?s)```.*?```', ' ', 'g')"
+    shown = f"regexp_replace(replace({unfenced}, '`', ''), '!\\[[^\\]]*\\]\\([^)]+\\)', ' ', 'g')"
+    linked = f"regexp_replace({shown}, '\\[([^\\]]+)\\]\\([^)]+\\)', '\\1', 'g')"
+    return f"array_to_string(list_filter(regexp_split_to_array({linked}, '[*_~#>[:space:]-]+'), lambda w: w <> ''), ' ')"
 
 
 @query("t10_markdown_to_text", f"with {MD_SQL} select doc_id, sha256({plain_sql('markdown')}) as plain from md")
@@ -182,38 +180,31 @@ def n1(tb: Tables) -> DataFrame:
 # --- dates ----------------------------------------------------------------------------------------
 
 
-def legal_date(xml, year):
-    """struct(date, kind) of a document's XML: its first making or enactment date, unless over two years from its own year."""
-    kind = F.regexp_extract(xml, r'<(?:\w+:)?(Made|EnactmentDate)\b[^>]*\bDate="(\d{4}-\d{2}-\d{2})"', 1)
-    date = F.try_to_date(F.nullif(F.regexp_extract(xml, r'<(?:\w+:)?(Made|EnactmentDate)\b[^>]*\bDate="(\d{4}-\d{2}-\d{2})"', 2), F.lit("")))
-    fits = year.isNull() | (F.abs(F.year(date) - year) <= 2)
-    return F.struct(F.when(fits, date).alias("date"), F.when(fits & date.isNotNull(), F.when(kind == "Made", "made").otherwise("enacted")).alias("kind"))
-
-
-def printed_date(text):
-    """The date behind "Made" in the first 6,000 characters of a print; null where there is no such day."""
-    pattern = r"(?i)\bMade\b[\s.\-_]{0,40}(\d{1,2})(?:st|nd|rd|th)?\s+(January|February|March|April|May|June|July|August|September|October|November|December)\s+(\d{4})"
-    head = F.substring(text, 1, 6000)
-    return F.try_to_date(F.concat_ws(" ", *[F.regexp_extract(head, pattern, k) for k in (1, 2, 3)]), "d MMMM yyyy")
-
-
 @query("d1_legal_dates", """select o_orderkey, case when o_orderkey % 4 < 3 then o_orderdate::date::varchar end as date, case when o_orderkey % 4 = 3 then null when o_orderkey % 2 = 0 then 'made' else 'enacted' end as kind from orders""")
 def d1(tb: Tables) -> DataFrame:
     xml = F.concat(F.lit("<x><"), F.when(F.col("o_orderkey") % 2 == 0, "Made").otherwise("ukm:EnactmentDate"), F.lit(' a="1" Date="'), F.col("o_orderdate").cast("date").cast("string"), F.lit('"/></x>'))
     year = F.year("o_orderdate") + F.when(F.col("o_orderkey") % 4 == 3, 5).otherwise(1)
-    return tb.read("orders").select("o_orderkey", legal_date(xml, year).alias("d")).select("o_orderkey", F.col("d.date").cast("string").alias("date"), "d.kind")
+    return tb.read("orders").select("o_orderkey", dates.legal_date(xml, year).alias("d")).select("o_orderkey", F.col("d.date").cast("string").alias("date"), "d.kind")
 
 
-@query("d2_printed_dates", "select o_orderkey, case when o_orderkey % 5 = 0 then null else o_orderdate::date::varchar end as date from orders")
+@query("d2_printed_dates", """select o_orderkey, case when o_orderkey % 7 in (0, 5) then null else o_orderdate::date::varchar end as date from orders""")
 def d2(tb: Tables) -> DataFrame:
-    day = F.when(F.col("o_orderkey") % 5 == 0, "31st February 2001").otherwise(F.concat(F.date_format("o_orderdate", "d"), F.lit("th "), F.date_format("o_orderdate", "MMMM yyyy")))
-    return tb.read("orders").select("o_orderkey", printed_date(F.concat(F.lit("STATUTORY\nMade - - - "), day, F.lit("\nLaid"))).cast("string").alias("date"))
+    # A day that does not exist, a clipped word, dashes, a comma, a year that is not the document's, a date beyond the preamble.
+    day, k = F.concat(F.date_format("o_orderdate", "d"), F.lit("th "), F.date_format("o_orderdate", "MMMM")), F.col("o_orderkey") % 7
+    year = F.date_format("o_orderdate", "yyyy")
+    printed = (
+        F.when(k == 0, "Made 31st February 2001").when(k == 1, F.concat(F.lit("ade - - - "), day, F.lit(", "), year)).when(k == 2, F.concat(F.lit("Made \u2013 \u2014 "), day, F.lit(" "), year))
+        .when(k == 3, F.concat(F.lit("made"), F.lit("......"), day, F.lit("  "), year)).when(k == 5, F.concat(F.repeat(F.lit("x "), F.lit(3000)), F.lit("Made "), day, F.lit(" "), year))
+        .otherwise(F.concat(F.lit("Made "), day, F.lit("\n"), year))
+    )
+    own = F.year("o_orderdate") + F.when(k == 4, 2).otherwise(-1)
+    return tb.read("orders").select("o_orderkey", dates.printed_date(F.concat(F.lit("STATUTORY\n"), printed, F.lit("\nLaid")), own).cast("string").alias("date"))
 
 
-@query("d3_date_ranges", "select o_orderkey, unnest(generate_series(o_orderdate::date, o_orderdate::date + 2, interval 1 day))::date::varchar as day from orders where o_orderkey < 100")
+@query("d3_date_ranges", "select o_orderkey, unnest(generate_series(o_orderdate::date, o_orderdate::date + 2, interval 1 day))::date::varchar as day from orders")
 def d3(tb: Tables) -> DataFrame:
     d = F.col("o_orderdate").cast("date")
-    days = tb.read("orders").where("o_orderkey < 100").select("o_orderkey", F.explode(F.sequence(d, F.date_add(d, 2))).alias("day"))
+    days = tb.read("orders").select("o_orderkey", F.explode(F.sequence(d, F.date_add(d, 2))).alias("day"))
     return days.withColumn("day", F.col("day").cast("string"))
 
 
@@ -230,10 +221,10 @@ def w5(tb: Tables) -> DataFrame:
     return rows.groupBy("o_orderkey").agg(first.alias("f")).select("o_orderkey", F.col("f.l_linenumber").alias("line"), F.col("f.l_shipdate").cast("date").cast("string").alias("date"), F.col("f").isNull().alias("prospective"))
 
 
-@query("w6_empty_runs", """with y as (select l_partkey as p, year(l_shipdate) as y, count(*) as n from lineitem where l_partkey < 40 group by all), g as (select p, y, n, y - row_number() over (partition by p order by y) as island from y where n < 4)
+@query("w6_empty_runs", """with y as (select l_partkey as p, year(l_shipdate) as y, count(*) as n from lineitem group by all), g as (select p, y, n, y - row_number() over (partition by p order by y) as island from y where n < 4)
   select p::varchar as legislation_type, min(y)::int as first_year, max(y)::int as last_year, count(*)::bigint as years from g group by p, island""")
 def w6(tb: Tables) -> DataFrame:
-    n = tb.read("lineitem").where("l_partkey < 40").groupBy(F.col("l_partkey").cast("string").alias("legislation_type"), F.year("l_shipdate").alias("year")).agg(F.count(F.lit(1)).alias("c"))
+    n = tb.read("lineitem").groupBy(F.col("l_partkey").cast("string").alias("legislation_type"), F.year("l_shipdate").alias("year")).agg(F.count(F.lit(1)).alias("c"))
     return coverage.empty_runs(n.withColumn("n", F.when(F.col("c") < 4, 0).otherwise(F.col("c"))))
 
 
@@ -318,8 +309,8 @@ def b2(tb: Tables) -> DataFrame:
 def b4(tb: Tables) -> DataFrame:
     d = tb.read("documents").where("text is not null")
     v = d.selectExpr("cast(doc_id as string) as version_id", "source as document_id", "'current' as version_kind", "'x' as source_sha256", "sha2(text, 256) as markdown_sha256")
-    first = d.where("doc_id = 0").select(F.col("text").alias("zero"))
-    new = d.join(first).select(F.col("doc_id").cast("string").alias("version_id"), F.when(F.col("doc_id") % 3 == 0, F.col("text")).when(F.col("doc_id") % 3 == 1, F.concat("text", F.lit("!"))).otherwise(F.col("zero")).alias("markdown"))
+    zero = F.lit(next((r["text"] for r in d.where("doc_id = 0").select("text").head(1)), None)).cast("string")
+    new = d.select(F.col("doc_id").cast("string").alias("version_id"), F.when(F.col("doc_id") % 3 == 0, F.col("text")).when(F.col("doc_id") % 3 == 1, F.concat("text", F.lit("!"))).otherwise(zero).alias("markdown"))
     return publish.rerender(v, new).select("version_id", "outcome")
 
 
@@ -330,10 +321,10 @@ def b6(tb: Tables) -> DataFrame:
     return publish.rekey(d, mapping, "object_key").select("doc_id", "object_key")
 
 
-@query("b12_missing_versions", """select document_id, date::varchar as date from (select *, row_number() over (partition by document_id order by date desc) as n from (select distinct l_partkey as document_id, l_shipdate::date as date from lineitem where l_partkey < 300) a
+@query("b12_missing_versions", """select document_id, date::varchar as date from (select *, row_number() over (partition by document_id order by date desc) as n from (select distinct l_partkey as document_id, l_shipdate::date as date from lineitem) a
   where not exists (select 1 from lineitem b where b.l_partkey = a.document_id and b.l_shipdate::date = a.date and b.l_returnflag = 'R')) where n <= 5""")
 def b12(tb: Tables) -> DataFrame:
-    rows = tb.read("lineitem").where("l_partkey < 300").selectExpr("l_partkey as document_id", "cast(l_shipdate as date) as date", "l_returnflag")
+    rows = tb.read("lineitem").selectExpr("l_partkey as document_id", "cast(l_shipdate as date) as date", "l_returnflag")
     return publish.missing_versions(rows.select("document_id", "date"), rows.where("l_returnflag = 'R'").select("document_id", "date").distinct(), 5).withColumn("date", F.col("date").cast("string"))
 
 
@@ -630,9 +621,9 @@ def r3(tb: Tables) -> DataFrame:
     return tb.read("documents").select("doc_id", F.array_join(F.array_distinct(F.array("source", "lang", "source", F.lit("x"), "lang")), ",").alias("parts"))
 
 
-@query("d5_rounded_scores", "select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity::bigint as q, round((l_quantity * 7)::bigint::decimal(18, 0) / 16, 4)::varchar as score from lineitem where l_quantity = round(l_quantity) and l_orderkey < 2000")
+@query("d5_rounded_scores", "select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity::bigint as q, round((l_quantity * 7)::bigint::decimal(18, 0) / 16, 4)::varchar as score from lineitem")
 def d5(tb: Tables) -> DataFrame:
-    rows = tb.read("lineitem").where("l_quantity = round(l_quantity) and l_orderkey < 2000")
+    rows = tb.read("lineitem")
     score = F.round(((F.col("l_quantity") * 7).cast("long") / 16).cast("double"), 4).cast("string")
     return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_quantity").cast("long").alias("q"), score.alias("score"))
 
