@@ -22,6 +22,7 @@ from functools import cached_property
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -123,6 +124,67 @@ class BatchAutomaton:
         return to
 
 
+class CharacterMap:
+    """A model's normalisation rules: a double-array trie over UTF-8 whose values are offsets of the replacements.
+
+    At each position the longest source that the trie holds gives way to its replacement; a character
+    where none begins stays.  ``kept`` strings are never changed.
+    """
+
+    def __init__(self, blob: bytes, kept: list[str] | None = None):
+        size = int.from_bytes(blob[:4], "little")
+        self.units = np.frombuffer(blob, "<u4", size // 4, 4).tolist()
+        self.strings = blob[4 + size :]
+        self.kept = regex.compile("|".join(regex.escape(k) for k in sorted(kept, key=len, reverse=True))) if kept else None
+        #: For characters met so far: whether a source begins with them.
+        self.begins: dict[str, bool] = {}
+
+    @staticmethod
+    def _offset(unit: int) -> int:
+        return unit >> 10 << ((unit & 1 << 9) >> 6)
+
+    def longest(self, data: bytes, at: int) -> tuple[int, int | None, int]:
+        """(bytes, replacement's offset) of the longest source at ``at``, and how many bytes have an edge."""
+        node = self._offset(self.units[0])
+        found, size = None, 0
+        for k in range(at, len(data)):
+            node ^= data[k]
+            unit = self.units[node] if node < len(self.units) else 0
+            if unit & (1 << 31 | 255) != data[k]:
+                return size, found, k - at
+            node ^= self._offset(unit)
+            if unit >> 8 & 1:
+                found, size = self.units[node] & (1 << 31) - 1, k - at + 1
+        return size, found, len(data) - at
+
+    def replaced(self, text: str) -> str:
+        for c in set(text) - self.begins.keys():
+            data = c.encode()
+            self.begins[c] = self.longest(data, 0)[2] == len(data)
+        if not any(map(self.begins.__getitem__, set(text))):
+            return text
+        data, out, at, plain = text.encode(), [], 0, 0
+        while at < len(data):
+            size, value, _ = self.longest(data, at)
+            if value is None:
+                at += 1
+                while at < len(data) and data[at] & 0xC0 == 0x80:
+                    at += 1
+                continue
+            out += [data[plain:at], self.strings[value : self.strings.index(b"\0", value)]]
+            plain = at = at + size
+        return b"".join([*out, data[plain:]]).decode()
+
+    def normalised(self, text: str) -> str:
+        if not self.kept:
+            return self.replaced(text)
+        out, at = [], 0
+        for m in self.kept.finditer(text):
+            out += [self.replaced(text[at : m.start()]), m.group()]
+            at = m.end()
+        return "".join([*out, self.replaced(text[at:])])
+
+
 @dataclass
 class Model:
     """Pieces with scores and types, and the switches of the normaliser."""
@@ -151,8 +213,7 @@ class Model:
     def __post_init__(self) -> None:
         if self.kind not in (UNIGRAM, BPE):
             raise ValueError("only unigram and BPE models are supported")
-        if self.charsmap:
-            raise ValueError("models with a character map are not supported; normalise texts beforehand")
+        self.map = CharacterMap(self.charsmap, [p for p, _, kind in self.pieces if kind == USER]) if self.charsmap else None
         self.ids = {p: i for i, (p, _, kind) in enumerate(self.pieces) if kind in (NORMAL, USER)}
         self.scores = [s for _, s, _ in self.pieces]
         self.score_array = np.array(self.scores)
@@ -186,6 +247,8 @@ class Model:
     # --- encoding ---------------------------------------------------------------------------------
 
     def normalised(self, text: str) -> str:
+        if self.map:
+            text = self.map.normalised(text)
         if self.squeeze_spaces:
             text = " ".join(x for x in text.split(" ") if x)
         if not text:
@@ -492,7 +555,10 @@ def model(path: str) -> Model:
 
 
 def encode(df: DataFrame, model_path: str, text_col: str = "text", out_col: str = "ids") -> DataFrame:
-    """``df`` with ``out_col`` (array<int>); null and empty texts give an empty array.  No shuffle."""
+    """``df`` with ``out_col`` (array<int>); null and empty texts give an empty array, equal texts equal ones.
+
+    An empty table stays empty, an existing ``out_col`` is replaced.  No shuffle.
+    """
     bounded_batches(session_of(df))
 
     @F.arrow_udf("array<int>")
