@@ -18,6 +18,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per document with the tokens of its whole text; a null text counts as empty, rows with equal ids stay apart."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = token_count.token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"))
     return counted.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), "n_tokens", (F.col("n_tokens") > MAX_TOKENS).alias("over_limit"))
@@ -58,6 +59,7 @@ def mixed(docs: DataFrame, max_epochs: int, tenths: int, id_col: str = "doc_id")
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that the target weights take, with their whole epochs and the part of the last one; null and empty texts give no row."""
     return mixed(table(spark, sf_dir, "documents"), MAX_EPOCHS, BUDGET_TENTHS)
 
 
@@ -106,7 +108,11 @@ select doc_id, domain, lang, source, n_tokens, full_epochs::bigint as full_epoch
 
 
 def as_tiff(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id_col, n_bytes, content): each text's UTF-8 bytes, filled with spaces to whole rows, as a TIFF."""
+    """(id_col, n_bytes, content): each text's UTF-8 bytes, filled with spaces to whole rows, as a TIFF.
+
+    Null and empty texts are one row of spaces; equal texts give equal files, rows with equal or null ids
+    stay apart; other columns are left aside; an empty table stays empty.  A file is held in memory whole.
+    """
     import pyarrow as pa
 
     bounded_batches(docs.sparkSession)
@@ -124,6 +130,7 @@ def as_tiff(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def op3_tiff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text stored as a TIFF, read back, one row per page; a null text is a payload of 192 spaces."""
     stored = staged(as_tiff(table(spark, sf_dir, "documents")), "tiff")
     media = stored.withColumns({"media_bytes": F.octet_length("content").cast("long"), "media_sha256": F.sha2("content", 256)})
     pages = tiff.tiff_pages(media, "content", ["doc_id", "n_bytes", "media_bytes", "media_sha256"])
@@ -135,6 +142,7 @@ def op3_tiff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page through ARC and WARC archives; a null html is an empty payload, repeated rows are records of their own."""
     read = arc_tables.pages_through_archives(table(spark, sf_dir, "pages"))
     return read.select(F.col("record_key").alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"), F.col("refers_to_key").alias("refers_to"))
 
@@ -149,6 +157,7 @@ select page_id, payload_bytes, payload_digest, case when page_id = first_id then
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fingerprint and a component for every document; documents without words have fingerprint zero and link with each other."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, max_bits=4)
     return found.select("doc_id", F.lpad(F.lower(F.hex(F.col("fps")[0])), 16, "0").alias("fingerprint"), "component_id")
 
@@ -158,12 +167,14 @@ QUALITY_THRESHOLD = 0.5
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score and decision for every document; null, empty and blank texts get 0."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = quality.classify(docs, quality.fit(docs))
     return scored.select("doc_id", "quality_score", (F.col("quality_score") >= QUALITY_THRESHOLD).alias("kept"))
 
 
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; only rows that are not held out are learned from, a null id is not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False)))
     model = langid.train(docs.where("not held_out"), "text", "lang")
     found = langid.identify(docs, model)
@@ -171,6 +182,12 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, and whether they decode to its text; null and empty texts have no ids.
+
+    The model is a BPE model, whose scores are merge ranks: the single pass over the automaton's output
+    links keeps at each position the piece that agrees with the one before it, not a best sum of scores,
+    which only a unigram model means.
+    """
     path = public_tokenizers.path("piece_bpe_32k.model")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     both = sentencepiece_codec.encode_and_decode(docs, path).select("doc_id", "text", "coded.*")
@@ -180,6 +197,7 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors; what can not be compared (null, zero, not finite, no label) is alone."""
     return rp_forest.vector_links(table(spark, sf_dir, "embeddings"), threshold=0.98)
 
 
@@ -196,11 +214,13 @@ RULES = {"org/": "allow", "example.org/es/": "block", "example.org/en/1": "block
 
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page; trees trained on the URLs that rules decide judge the rest, null urls among them."""
     judged = url_filter.judge_with_rule_labels(table(spark, sf_dir, "pages").select("page_id", "url"), RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict", "block_probability")
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the five stages of ``corpus_pipeline`` keep of the documents, as ids."""
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
