@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from lexloom.functions import text as t
 from lexloom.operators import diff, documents, effects, entities, publish, search
+from lexloom.operators.documents import TYPES
 from lexloom.sources import clml, feeds, files
 from lexloom.streaming import poll
 
@@ -97,11 +98,10 @@ class Corpus:
     def diff(self, pairs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         """(entries, attached effects, unattached effects) of pairs (pair_id, document_id, from_version_id, to_version_id), any number of them."""
         v, e = self.table("versions"), self.table("effects")
-        full = documents.provision_texts(self.table("provisions"), self.table("texts"))
-        entries = diff.provision_diff(pairs, full)
+        entries = diff.provision_diff(pairs, self.table("provisions"), self.table("texts"))
         targets = diff.effect_targets(effects.affected_arrays(self.table("refs")))
         attached, rest = diff.attach_effects(entries, diff.window_candidates(pairs, v, e), targets)
-        return entries, attached, rest
+        return diff.with_texts(entries, self.table("texts")), attached, rest
 
     def diff_versions(self, from_id: str, to_id: str) -> tuple[DataFrame, DataFrame, DataFrame]:
         """``diff`` of one pair; ValueError if a version is missing or they belong to different documents."""
@@ -134,9 +134,9 @@ class Corpus:
         return feeds.parse_effects(self.spark.read.format("binaryFile").load(feed_path).select("path", "content"))
 
     def ingest_duties(self, paths: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
-        return entities.load_duties(entities.staged_duties(files.read_duties(self.spark, paths)[0]), self.table("documents"))
+        return entities.load_duties(files.read_duties(self.spark, paths)[0], self.table("documents"))
 
-    def poll(self, landed: str, state: str, checkpoint: str, taken: DataFrame | None = None, since: str | None = None, types: tuple[str, ...] | None = documents.TYPES) -> DataFrame | None:
+    def poll(self, landed: str, state: str, checkpoint: str, taken: DataFrame | None = None, since: str | None = None, types: tuple[str, ...] | None = TYPES) -> DataFrame | None:
         """Documents due among the publication events landed as Parquet (document_id, legislation_type, updated, ...).
 
         ``taken`` (document_id, updated) says what was ingested before; a document published again since is due again.

@@ -28,21 +28,31 @@ def provision_key(df: DataFrame) -> DataFrame:
     return df.withColumn("_seen", F.row_number().over(Window.partitionBy("version_id", "_key").orderBy("ordinal")))
 
 
-def provision_diff(pairs: DataFrame, provisions: DataFrame, compare: Column | None = None) -> DataFrame:
+SHOWN = ("provision_type", "number", "extent", "heading", "anchor", "text_sha256")
+
+
+def provision_diff(pairs: DataFrame, provisions: DataFrame, texts: DataFrame, compare: Column | None = None) -> DataFrame:
     """One row for each entry of each pair's difference, in reading order by (gap, rank, index).
 
     Provisions of equal key and occurrence match.  Walking the later version, a match counts only if it
     lies beyond every earlier match in the earlier version: its index exceeds the running maximum, which
     rejected matches never raise.  Unmatched rows stand in the gap before the next match, removals first.
-    ``compare`` normalises the text that decides between changed and unchanged.
+    ``compare`` (over ``markdown``) normalises the text that decides between changed and unchanged.
+
+    Each of ``texts`` (text_sha256, markdown) is normalised once and stands for itself by a hash of 128
+    bits; no text is shuffled.  Changed entries name theirs by ``from_sha256`` and ``to_sha256`` (see
+    ``with_texts``).  Versions are numbered before pairs are made of them, and all that is done to a pair
+    is done where it lies: two shuffles of narrow rows, by version and by pair.
     """
-    compare = comparison_text(F.col("markdown")) if compare is None else compare
-    own = provision_key(provisions).withColumn("_text", compare)
-    side = lambda version: pairs.select("pair_id", F.col(version).alias("version_id")).join(own, "version_id")
-    index = lambda df: df.withColumn("_i", F.row_number().over(Window.partitionBy("pair_id").orderBy("ordinal")))
-    a = index(side("from_version_id")).select("pair_id", "_key", "_seen", F.col("_i").alias("from_i"), F.struct("ordinal", "provision_type", "number", "extent", "heading", "anchor", "markdown", "_text").alias("f"))
-    b = index(side("to_version_id")).select("pair_id", "_key", "_seen", F.col("_i").alias("to_i"), F.struct("ordinal", "provision_type", "number", "extent", "heading", "anchor", "markdown", "_text").alias("t"))
-    both = b.join(a, ["pair_id", "_key", "_seen"], "full_outer")
+    plain = comparison_text(F.col("markdown")) if compare is None else compare
+    codes = texts.select("text_sha256", F.struct(F.xxhash64(plain).alias("a"), F.xxhash64(F.lit(1), plain).alias("b")).alias("_code"))
+    own = provisions.select("version_id", "ordinal", *SHOWN).join(codes, "text_sha256", "left").repartition("version_id")
+    own = provision_key(own).withColumn("_i", F.row_number().over(Window.partitionBy("version_id").orderBy("ordinal")))
+    ends = F.array(F.struct(F.col("from_version_id").alias("version_id"), F.lit(False).alias("_later")), F.struct(F.col("to_version_id").alias("version_id"), F.lit(True).alias("_later")))
+    sides = pairs.select("pair_id", F.explode(ends).alias("s")).select("pair_id", "s.*")
+    at = own.join(sides, "version_id").select("pair_id", "_later", "_key", "_seen", F.struct("_i", "_code", *SHOWN).alias("x")).repartition("pair_id")
+    side = lambda later: F.max(F.when(F.col("_later") == later, F.col("x")))
+    both = at.groupBy("pair_id", "_key", "_seen").agg(side(False).alias("f"), side(True).alias("t")).withColumns({"from_i": F.col("f._i"), "to_i": F.col("t._i")})
     walk = Window.partitionBy("pair_id").orderBy(F.col("to_i").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
     highest = F.max(F.when(F.col("to_i").isNotNull(), F.col("from_i"))).over(walk)
     held = both.withColumn("_pair", F.col("to_i").isNotNull() & F.col("from_i").isNotNull() & (F.col("from_i") > F.coalesce(highest, F.lit(0))))
@@ -55,18 +65,26 @@ def provision_diff(pairs: DataFrame, provisions: DataFrame, compare: Column | No
     pair = (F.col("kind") == "pair").cast("int")
     rows = rows.withColumn("_gf", F.sum(F.when(F.col("kind") != "added", pair)).over(by_from)).withColumn("_gt", F.sum(F.when(F.col("kind") != "removed", pair)).over(by_to))
     gap = F.when(F.col("kind") == "removed", F.col("_gf")).when(F.col("kind") == "added", F.col("_gt")).otherwise(F.col("_gt") - 1)
-    same = F.col("f._text").eqNullSafe(F.col("t._text"))
+    same = (F.col("f.text_sha256") == F.col("t.text_sha256")) | F.col("f._code").eqNullSafe(F.col("t._code"))
     status = F.when(F.col("kind") == "pair", F.when(same, "unchanged").otherwise("changed")).otherwise(F.col("kind"))
     shown = F.when(F.col("kind") == "removed", F.col("f")).otherwise(F.col("t"))
     changed = F.col("status") != "unchanged"
     return rows.withColumn("status", status).withColumn("s", shown).select(
         "pair_id", F.coalesce(gap, F.lit(0)).cast("long").alias("gap"), F.when(F.col("kind") == "removed", 0).when(F.col("kind") == "added", 1).otherwise(2).alias("rank"),
-        F.when(F.col("kind") == "removed", F.col("from_i")).otherwise(F.col("to_i")).cast("long").alias("index"), "status",
-        F.col("s.provision_type").alias("provision_type"), F.col("s.number").alias("number"), F.col("s.extent").alias("extent"), F.col("s.heading").alias("heading"), F.col("s.anchor").alias("anchor"),
-        F.when(changed & (F.col("kind") != "added"), F.col("f.markdown")).alias("from_markdown"), F.when(changed & (F.col("kind") != "removed"), F.col("t.markdown")).alias("to_markdown"),
+        F.when(F.col("kind") == "removed", F.col("from_i")).otherwise(F.col("to_i")).cast("long").alias("index"), "status", *[F.col(f"s.{c}").alias(c) for c in SHOWN[:-1]],
+        F.when(changed & (F.col("kind") != "added"), F.col("f.text_sha256")).alias("from_sha256"), F.when(changed & (F.col("kind") != "removed"), F.col("t.text_sha256")).alias("to_sha256"),
     )
 
 
+def with_texts(entries: DataFrame, texts: DataFrame) -> DataFrame:
+    """``entries`` with from_markdown and to_markdown instead of hashes; entries without a hash are dealt out evenly, not to one task."""
+    for name in ("from", "to"):
+        own = texts.select(F.col("text_sha256").alias("_sha"), F.col("markdown").alias(f"{name}_markdown"))
+        spread = F.concat(F.lit("-"), F.xxhash64("pair_id", "index").cast("string"))
+        entries = entries.withColumn("_sha", F.coalesce(f"{name}_sha256", spread)).join(own, "_sha", "left").drop("_sha", f"{name}_sha256")
+    return entries
+
+
 def diff_summary(entries: DataFrame) -> DataFrame:
     return entries.groupBy("pair_id").agg(*[F.count_if(F.col("status") == s).alias(s) for s in ("added", "removed", "changed", "unchanged")])
 
@@ -86,11 +104,17 @@ def effect_targets(effects: DataFrame, pairs_of: bool = False) -> DataFrame:
 def attach_effects(entries: DataFrame, candidates: DataFrame, targets: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(attached, unattached) of ``candidates`` (pair_id, effect_id).
 
-    An effect is pinned to an entry only where the text did change; the rest is returned apart.
+    An effect is pinned to an entry only where the text did change; the rest is returned apart.  Either
+    result works the difference out once.
     """
     moved = entries.where("status <> 'unchanged' and number is not null").withColumn("provision_type", F.coalesce("provision_type", F.lit("")))
-    attached = candidates.join(targets, "effect_id").join(moved.select("pair_id", "provision_type", "number", "gap", "rank", "index", "status"), ["pair_id", "provision_type", "number"])
-    return attached, candidates.join(attached.select("pair_id", "effect_id").distinct(), ["pair_id", "effect_id"], "left_anti")
+    moved = moved.select("pair_id", "provision_type", "number", "gap", "rank", "index", "status")
+    key = ["pair_id", "provision_type", "number"]
+    attached = candidates.join(targets, "effect_id").join(moved, key)
+    places = moved.select(*key, F.lit(True).alias("_hit")).distinct()
+    asked = candidates.join(targets, "effect_id", "left").join(places, key, "left")
+    unattached = asked.groupBy("pair_id", "effect_id").agg(F.bool_or(F.coalesce("_hit", F.lit(False))).alias("_hit")).where("not _hit").drop("_hit")
+    return attached, unattached
 
 
 def window_candidates(pairs: DataFrame, versions: DataFrame, effects: DataFrame) -> DataFrame:
@@ -108,11 +132,11 @@ OPS = "array<struct<kind:string,text:string>>"
 _SPACES = re.compile(r"(\s+)")
 
 
-def word_ops(a: str | None, b: str | None, most: int) -> list[tuple[str, str]]:
+def word_ops(a: str | None, b: str | None, most: int | None) -> list[tuple[str, str]]:
     """Runs of equal, deleted and inserted tokens along a longest common subsequence; deletions first on ties."""
     x = [t for t in _SPACES.split(a or "") if t]
     y = [t for t in _SPACES.split(b or "") if t]
-    if len(x) > most or len(y) > most:
+    if most is not None and (len(x) > most or len(y) > most):
         return [k for k in (("delete", a or ""), ("insert", b or "")) if k[1]]
     names = {t: i for i, t in enumerate(dict.fromkeys(x + y))}
     u, v = np.array([names[t] for t in x], np.int64), np.array([names[t] for t in y], np.int64)
@@ -138,8 +162,12 @@ def word_ops(a: str | None, b: str | None, most: int) -> list[tuple[str, str]]:
     return [(k, "".join(t)) for k, t in out]
 
 
-def word_diff(a: Column, b: Column, most: int = 4000) -> Column:
-    """array<struct<kind, text>>: word and white-space tokens deleted, inserted or kept; long texts as two blocks."""
+def word_diff(a: Column, b: Column, most: int | None = 4000) -> Column:
+    """array<struct<kind, text>>: word and white-space tokens deleted, inserted or kept.
+
+    A text of more than ``most`` tokens is shown as two blocks; None compares texts of any length, in
+    memory of four bytes for each pair of tokens.
+    """
 
     @F.pandas_udf(OPS)
     def ops(x: pd.Series, y: pd.Series) -> pd.Series:

@@ -110,3 +110,14 @@ def timeline(summary: DataFrame, groups: dict[str, list[str]], first: int, last:
     left = F.round((F.col("first_year") - first) / span * 100, 2)
     width = F.greatest(F.lit(0.6), F.round((F.col("last_year") - F.col("first_year")) / span * 100, 2))
     return names.join(summary, "legislation_type").select("group", "legislation_type", "document_count", left.alias("left_percent"), width.alias("width_percent"))
+
+
+def timeline_ticks(first: int, last: int, step: int = 100, from_year: int = 1300) -> list[tuple[int, float]]:
+    """(year, left edge in percent) of the marks below a timeline: every ``step`` years before the last."""
+    return [(y, round((y - first) / (last - first) * 100, 2)) for y in range(from_year, last, step)]
+
+
+def timeline_totals(bars: DataFrame) -> DataFrame:
+    """Documents of each group and of all groups (``all``)."""
+    rolled = bars.rollup("group").agg(F.sum("document_count").alias("document_count"), F.grouping("group").alias("g"))
+    return rolled.select(F.when(F.col("g") == 1, "all").otherwise(F.col("group")).alias("group"), "document_count")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexloom.functions import text as t
-from lexloom.operators.keyed import distinct_on
+from lexloom.operators.keyed import distinct_on, numbered
 
 
 def staged_duties(raw: DataFrame) -> DataFrame:
@@ -27,12 +27,30 @@ def staged_duties(raw: DataFrame) -> DataFrame:
     )
 
 
-def load_duties(staged: DataFrame, documents: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(duties, actor matches, counts): the first row of each duty, each body it names once, and what the corpus lacks."""
-    duties = distinct_on(staged, ["duty_uri"], [F.col("source_temp_id").asc_nulls_last(), F.col("action").asc_nulls_last(), F.col("actor").asc_nulls_last()])
-    direct = staged.where("actor_is_body is not null").select("duty_uri", F.col("actor_is_body").alias("body_name"), F.lit("direct").alias("match_kind"), F.when(F.col("actor_is_alias").isNull(), F.col("body_uri")).alias("body_uri"))
-    alias = staged.where("actor_is_alias is not null").select("duty_uri", F.col("actor_is_alias").alias("body_name"), F.lit("alias").alias("match_kind"), "body_uri")
-    matches = direct.unionByName(alias).groupBy("duty_uri", "body_name", "match_kind").agg(F.max("body_uri").alias("body_uri"))
+def first_duties(raw: DataFrame) -> DataFrame:
+    """The raw row that stands for each duty: the first by temporary id, action and actor, then by all its fields.
+
+    An aggregate, combined before its shuffle, so what a duty's other rows hold does not travel.
+    """
+    clean = lambda c: t.or_null(F.trim(F.col(c)))
+    order = [x for c in (clean("dutyTempId").cast("long"), clean("action"), clean("actor")) for x in (c.isNull(), c)]
+    best = raw.groupBy(F.trim("duty_uri").alias("_uri")).agg(F.min(F.struct(F.struct(*order).alias("o"), F.struct(*[F.col(c) for c in raw.columns]).alias("r"))).alias("b"))
+    return best.select("b.r.*")
+
+
+def load_duties(raw: DataFrame, documents: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(duties, actor matches, counts): the first row of each duty, each body it names once, and what the corpus lacks.
+
+    Only the rows that stay are normalised whole; of the others just the names of bodies are read.
+    """
+    duties = staged_duties(first_duties(raw))
+    clean = lambda c: t.or_null(F.trim(F.col(c)))
+    own = raw.select(F.trim("duty_uri").alias("duty_uri"), clean("actorIsBody").alias("body"), clean("actorIsAlias").alias("alias"), clean("body_uri").alias("uri"))
+    named = F.array(
+        F.struct(F.col("body").alias("body_name"), F.lit("direct").alias("match_kind"), F.when(F.col("alias").isNull(), F.col("uri")).alias("body_uri")),
+        F.struct(F.col("alias").alias("body_name"), F.lit("alias").alias("match_kind"), F.col("uri").alias("body_uri")),
+    )
+    matches = own.select("duty_uri", F.explode(named).alias("m")).select("duty_uri", "m.*").where("body_name is not null").groupBy("duty_uri", "body_name", "match_kind").agg(F.max("body_uri").alias("body_uri"))
     counts = duties.join(documents.select(F.col("id").alias("document_id"), F.lit(1).alias("known")), "document_id", "left").agg(F.count(F.lit(1)).alias("duties"), F.count_if(F.col("known").isNull()).alias("unlinked_documents"))
     return duties, matches, counts
 
@@ -83,43 +101,45 @@ def resolution_ratio(duties: DataFrame, entities: DataFrame, aliases: DataFrame)
     return names.join(known, "_l", "left").agg(F.count(F.lit(1)).alias("names"), F.count_if("known").alias("resolved"))
 
 
-#: Largest catalogue sent to every worker; a larger one is refused with an error.
-CATALOGUE_ROWS = 200_000
+#: Keys of the catalogue, and names, that one task compares with each other.
+SHARD_KEYS, BLOCK_NAMES = 20_000, 2_000
 
 
 def fuzzy_candidates(names: DataFrame, catalogue: DataFrame, *, n: int = 8, cutoff: float = 0.72, keep: int = 6) -> DataFrame:
     """(name, entity_id, display, ratio, rank): for each name the closest catalogue entries (entity_id, display).
 
     Close are the ``n`` best keys with a ratio of at least ``cutoff``, and for names longer than 8
-    characters keys that contain the name or lie in it.  The catalogue of bodies is small and checked to
-    be; its keys go to every worker.
+    characters keys that contain the name or lie in it.  Blocks of names meet shards of the catalogue, each
+    pair of them in a task of its own, whatever the sizes of both; a shard's best are merged by name.
     """
     keyed = catalogue.withColumn("key", t.match_name(F.col("display"))).where("key <> ''")
-    rows = keyed.select("key", "entity_id", "display").limit(CATALOGUE_ROWS + 1).toPandas()
-    if len(rows) > CATALOGUE_ROWS:
-        raise ValueError(f"the catalogue has more than {CATALOGUE_ROWS} rows")
-    rows = rows.sort_values(["key", "entity_id"])
-    shared = names.sparkSession.sparkContext.broadcast({k: list(zip(g["entity_id"], g["display"], strict=True)) for k, g in rows.groupby("key", sort=True)})
-
-    def match(frames):
-        book = shared.value
-        for frame in frames:
-            out = []
-            for name, key in zip(frame["name"], frame["key"], strict=True):
-                close = set(difflib.get_close_matches(key, book.keys(), n=n, cutoff=cutoff))
-                best: dict[int, tuple[float, str]] = {}
-                for k in book:
-                    if k in close or (len(key) > 8 and (key in k or k in key)):
-                        ratio = difflib.SequenceMatcher(None, key, k).ratio()
-                        for entity, display in book[k]:
-                            if entity not in best or ratio > best[entity][0]:
-                                best[entity] = (ratio, display)
-                ranked = sorted(best.items(), key=lambda e: (-e[1][0], e[0]))[:keep]
-                out += [(name, int(e), d, r, i + 1) for i, (e, (r, d)) in enumerate(ranked)]
-            yield pd.DataFrame(out, columns=["name", "entity_id", "display", "ratio", "rank"])
-
-    parts = max(int(names.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    return names.select("name", t.match_name(F.col("name")).alias("key")).repartition(parts, "key").mapInPandas(match, "name string, entity_id long, display string, ratio double, rank int")
+    asked = names.select("name", t.match_name(F.col("name")).alias("key")).distinct()
+    count = lambda df: df.agg(F.approx_count_distinct("key").alias("c")).first()["c"]
+    shards, blocks = count(keyed) // SHARD_KEYS + 1, count(asked) // BLOCK_NAMES + 1
+    every = lambda k: F.explode(F.sequence(F.lit(0), F.lit(k - 1)))
+    book = keyed.select("key", "entity_id", "display", F.pmod(F.xxhash64("key"), F.lit(shards)).alias("shard"), every(blocks).alias("block"))
+    asked = asked.select("name", "key", every(shards).alias("shard"), F.pmod(F.xxhash64("name"), F.lit(blocks)).alias("block"))
+
+    def match(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        shelf = {k: list(zip(g["entity_id"], g["display"], strict=True)) for k, g in right.sort_values(["key", "entity_id"]).groupby("key", sort=True)}
+        out = []
+        for name, key in zip(left["name"], left["key"], strict=True):
+            close = set(difflib.get_close_matches(key, shelf.keys(), n=n, cutoff=cutoff))
+            for k, entries in shelf.items():
+                inside = len(key) > 8 and (key in k or k in key)
+                if k in close or inside:
+                    ratio = difflib.SequenceMatcher(None, key, k).ratio()
+                    out += [(name, k, k in close, inside, int(e), d, ratio) for e, d in entries]
+        return pd.DataFrame(out, columns=["name", "key", "close", "inside", "entity_id", "display", "ratio"])
+
+    schema = "name string, key string, close boolean, inside boolean, entity_id long, display string, ratio double"
+    found = asked.groupBy("shard", "block").cogroup(book.groupBy("shard", "block")).applyInPandas(match, schema)
+    # Of all shards' close keys the best n stay; a tie goes to the later key, as within a shard.
+    best = Window.partitionBy("name").orderBy(F.col("close").desc(), F.col("ratio").desc(), F.col("key").desc())
+    left = found.withColumn("_k", F.dense_rank().over(best)).where((F.col("close") & (F.col("_k") <= n)) | F.col("inside"))
+    one = distinct_on(left, ["name", "entity_id"], [F.col("ratio").desc(), F.col("key")])
+    ranked = one.withColumn("rank", F.row_number().over(Window.partitionBy("name").orderBy(F.col("ratio").desc(), "entity_id")))
+    return ranked.where(F.col("rank") <= keep).select("name", "entity_id", "display", "ratio", "rank")
 
 
 def scoped_members(definitions: DataFrame, entities: DataFrame) -> DataFrame:
@@ -135,8 +155,7 @@ def apply_decisions(decisions: DataFrame, entities: DataFrame) -> tuple[DataFram
     valid = decisions.join(entities.select("entity_id", F.lit(True).alias("known")), "entity_id", "left")
     outcome = F.when(F.col("known"), "linked").when(F.col("entity_id").isNull() & F.col("kind").isNotNull(), "created").otherwise("skipped")
     rows = valid.withColumn("outcome", outcome)
-    largest = Window.orderBy("name")
-    created = rows.where("outcome = 'created'").select("name", "kind").distinct()
-    start = entities.agg(F.coalesce(F.max("entity_id"), F.lit(0)).alias("top"))
-    fresh = created.withColumn("_n", F.row_number().over(largest)).join(start).select((F.col("top") + F.col("_n")).alias("entity_id"), "name", "kind")
+    top = entities.agg(F.max("entity_id").alias("m")).first()["m"] or 0  # one number
+    created = numbered(rows.where("outcome = 'created'").select("name", "kind").distinct(), ["name", "kind"], top)
+    fresh = created.select(F.col("_number").alias("entity_id"), "name", "kind")
     return rows.where("outcome = 'linked'").select("entity_id", F.col("name").alias("alias")).distinct(), fresh, histogram(rows, "outcome")

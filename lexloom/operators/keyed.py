@@ -31,6 +31,25 @@ def replace_children(old: DataFrame, new: DataFrame, parent: list[str]) -> DataF
     return old.join(new.select(*parent).distinct(), parent, "left_anti").select(old.columns).unionByName(new)
 
 
+#: Parts that ``numbered`` counts in.
+PARTS = 1024
+
+
+def numbered(df: DataFrame, keys: list[str], after: int = 0) -> DataFrame:
+    """``df`` with ``_number``: whole numbers from ``after`` + 1 on without gaps, the same for the same ``keys``, which are unique.
+
+    Rows are counted within PARTS parts by the hash of their keys; the parts' totals, PARTS rows, say where
+    each part begins.  So no task sorts the whole table.
+    """
+    part = F.pmod(F.xxhash64(*keys), F.lit(PARTS)).cast("int")
+    own = df.withColumn("_part", part)
+    sums = own.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    total = F.coalesce(F.sum("_n").over(Window.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    begins = sums.select("_part", total.alias("_begin"))
+    inside = F.row_number().over(Window.partitionBy("_part").orderBy(*keys))
+    return own.withColumn("_inside", inside).join(begins, "_part").withColumn("_number", F.lit(after) + F.col("_begin") + F.col("_inside")).drop("_part", "_inside", "_begin")
+
+
 def delta(df: DataFrame, since: Column, *stamps: str) -> DataFrame:
     """Rows created or updated from ``since`` on."""
     return df.where(F.greatest(*[F.col(s) for s in stamps]) >= since if len(stamps) > 1 else F.col(stamps[0]) >= since)

@@ -12,6 +12,10 @@ from lexloom.functions import text as t
 EFFECT_TYPES = {"1-URGENT": "substituted", "2-HIGH": "coming into force", "3-MEDIUM": "applied", "4-NOT SPECIFIED": "", "5-LOW": "inserted"}
 
 
+#: A provision's text: its words, with spaces that differ from supplier to supplier and that no reader minds.
+MARKDOWN = "concat(l_returnflag, case l_suppkey % 3 when 0 then ', ' when 1 then ' , ' else ',  ' end, l_linestatus)"
+
+
 @dataclass
 class Tables:
     spark: SparkSession
@@ -33,7 +37,7 @@ class Tables:
         return self.read("documents").join(labels, "doc_id", "left").selectExpr("concat('v', doc_id) as version_id", "doc_id", "n_chars as word_count", "quality = 0 as is_metadata_only")
 
     def dated_lines(self) -> DataFrame:
-        rows = self.read("lineitem").selectExpr("l_partkey", "cast(year(l_shipdate) as int) as y", "l_shipdate", "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "concat(l_returnflag, l_linestatus) as markdown")
+        rows = self.read("lineitem").selectExpr("l_partkey", "cast(year(l_shipdate) as int) as y", "l_shipdate", "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", f"{MARKDOWN} as markdown")
         w = Window.partitionBy("l_partkey", "y").orderBy("l_shipdate", "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice")
         return rows.withColumn("ordinal", F.row_number().over(w))
 
@@ -47,7 +51,7 @@ class Tables:
         )
 
     def texts(self) -> DataFrame:
-        return self.read("lineitem").selectExpr("concat(l_returnflag, l_linestatus) as markdown").distinct().selectExpr("sha2(markdown, 256) as text_sha256", "markdown")
+        return self.read("lineitem").selectExpr(f"{MARKDOWN} as markdown").distinct().selectExpr("sha2(markdown, 256) as text_sha256", "markdown")
 
     def effects(self) -> DataFrame:
         lines = self.read("lineitem").selectExpr("*", "concat_ws(':', l_orderkey, l_linenumber, l_partkey, l_suppkey, cast(l_shipdate as date), cast(round(l_extendedprice * 100) as bigint)) as effect_id")
@@ -88,7 +92,7 @@ CTES = {
       case when doc_id % 13 = 0 then 'x' || doc_id else doc_id::varchar end as number, substr(text, 1, 40) as title, case doc_id % 4 when 0 then 'Current' when 1 then 'Revoked' when 2 then 'Prospective' end as status,
       source as extent, case when doc_id % 11 = 0 then null else 'v' || doc_id end as latest_version_id, case when doc_id % 3 = 0 then date '2000-01-01' + (doc_id % 9000)::int end as legal_date, text from documents""",
     "m_latest": "select 'v' || d.doc_id as version_id, d.doc_id, n_chars as word_count, q = 0 as is_metadata_only from documents d left join (select doc_id, max(quality) as q from labels group by doc_id) l using (doc_id)",
-    "m_lines": """select l_partkey, year(l_shipdate)::int as y, l_shipdate, l_orderkey, l_linenumber, l_suppkey, l_extendedprice, l_returnflag || l_linestatus as markdown,
+    "m_lines": f"""select l_partkey, year(l_shipdate)::int as y, l_shipdate, l_orderkey, l_linenumber, l_suppkey, l_extendedprice, {MARKDOWN} as markdown,
       row_number() over (partition by l_partkey, year(l_shipdate) order by l_shipdate, l_orderkey, l_linenumber, l_suppkey, l_extendedprice) as ordinal from lineitem""",
     "m_versions": "select distinct l_partkey || ':' || year(l_shipdate) as version_id, l_partkey as document_id, make_date(year(l_shipdate), 1, 1) as snapshot_date from lineitem",
     "m_provisions": """select l_partkey || ':' || y as version_id, l_partkey as document_id, ordinal::int as ordinal, 'section' as provision_type, l_linenumber::varchar as number, null::varchar as extent, 'h' || l_linenumber as heading, 'a' || l_linenumber as anchor,

@@ -356,18 +356,18 @@ DUTY_SQL = """raw as (select l_quantity::int as tmp, 'd' || (l_orderkey % 3000)
 @query("b7_duties", f"with {DUTY_SQL} select duty_uri, tmp::bigint as source_temp_id, document_id, 'ukpga' as enactment_type, 'section/' || number as section_path, number as provision_number, actor, action from (select *, row_number() over (partition by duty_uri order by tmp nulls last, action nulls last, actor nulls last) as n from raw) where n = 1")
 def b7(tb: Tables) -> DataFrame:
     docs = tb.spark.createDataFrame([], "id string")
-    return entities.load_duties(entities.staged_duties(raw_duties(tb)), docs)[0].select("duty_uri", "source_temp_id", "document_id", "enactment_type", "section_path", "provision_number", "actor", "action")
+    return entities.load_duties(raw_duties(tb), docs)[0].select("duty_uri", "source_temp_id", "document_id", "enactment_type", "section_path", "provision_number", "actor", "action")
 
 
 @query("a9_duty_matches", f"with {DUTY_SQL} select duty_uri, body_name, match_kind, max(u) as body_uri from (select duty_uri, body as body_name, 'direct' as match_kind, case when alias is null then body_uri end as u from raw where body is not null union all select duty_uri, alias, 'alias', body_uri from raw where alias is not null) group by 1, 2, 3")
 def a9(tb: Tables) -> DataFrame:
-    return entities.load_duties(entities.staged_duties(raw_duties(tb)), tb.spark.createDataFrame([], "id string"))[1]
+    return entities.load_duties(raw_duties(tb), tb.spark.createDataFrame([], "id string"))[1]
 
 
 @query("b7_unlinked", f"with {DUTY_SQL}, d as (select * from (select *, row_number() over (partition by duty_uri order by tmp nulls last, action nulls last, actor nulls last) as n from raw) where n = 1) select count(*)::bigint as duties, count(*) filter (where not (document_id like '%/3'))::bigint as unlinked_documents from d")
 def b7_counts(tb: Tables) -> DataFrame:
     docs = tb.read("supplier").select(F.concat(F.lit("ukpga/19"), (F.col("s_suppkey") % 90 + 10).cast("string"), F.lit("/3")).alias("id")).union(tb.spark.range(10, 100).select(F.concat(F.lit("ukpga/19"), F.col("id").cast("string"), F.lit("/3")))).distinct()
-    return entities.load_duties(entities.staged_duties(raw_duties(tb)), docs)[2]
+    return entities.load_duties(raw_duties(tb), docs)[2]
 
 
 INSTRUMENTS = ("economy", "standard", "promo")

@@ -209,11 +209,11 @@ def a10(t: Tables) -> DataFrame:
 # --- differences ----------------------------------------------------------------------------------
 
 DIFF_SQL = """pairs as (select version_id as pair_id, document_id, lag(version_id) over (partition by document_id order by snapshot_date) as from_version_id, version_id as to_version_id, lag(snapshot_date) over (partition by document_id order by snapshot_date) as from_date, snapshot_date as to_date from m_versions),
-keyed as (select *, row_number() over (partition by version_id order by ordinal) as i, row_number() over (partition by version_id, number order by ordinal) as seen from m_provisions),
-matches as (select p.pair_id, a.i as fi, b.i as ti, a.markdown as fm, b.markdown as tm, b.number as num from pairs p join keyed b on b.version_id = p.to_version_id join keyed a on a.version_id = p.from_version_id and a.number = b.number and a.seen = b.seen),
+keyed as (select *, replace(regexp_replace(markdown, '\\s+', ' ', 'g'), ' ,', ',') as plain, row_number() over (partition by version_id order by ordinal) as i, row_number() over (partition by version_id, number order by ordinal) as seen from m_provisions),
+matches as (select p.pair_id, a.i as fi, b.i as ti, a.markdown as fm, b.markdown as tm, a.plain as fp, b.plain as tp, b.number as num from pairs p join keyed b on b.version_id = p.to_version_id join keyed a on a.version_id = p.from_version_id and a.number = b.number and a.seen = b.seen),
 walked as (select *, fi > coalesce(max(fi) over (partition by pair_id order by ti rows between unbounded preceding and 1 preceding), 0) as taken from matches),
 kept as (select * from walked where taken),
-entries as (select pair_id, 2 as rank, ti as idx, case when fm = tm then 'unchanged' else 'changed' end as status, num as number, case when fm <> tm then fm end as from_markdown, case when fm <> tm then tm end as to_markdown,
+entries as (select pair_id, 2 as rank, ti as idx, case when fp = tp then 'unchanged' else 'changed' end as status, num as number, case when fp <> tp then fm end as from_markdown, case when fp <> tp then tm end as to_markdown,
     (select count(*) from kept k where k.pair_id = w.pair_id and k.ti < w.ti) as gap from kept w
   union all select p.pair_id, 0, a.i, 'removed', a.number, a.markdown, null, (select count(*) from kept k where k.pair_id = p.pair_id and k.fi < a.i) from pairs p join keyed a on a.version_id = p.from_version_id where not exists (select 1 from kept k where k.pair_id = p.pair_id and k.fi = a.i)
   union all select p.pair_id, 1, b.i, 'added', b.number, null, b.markdown, (select count(*) from kept k where k.pair_id = p.pair_id and k.ti < b.i) from pairs p join keyed b on b.version_id = p.to_version_id where p.from_version_id is not null and not exists (select 1 from kept k where k.pair_id = p.pair_id and k.ti = b.i))"""
@@ -221,12 +221,12 @@ entries as (select pair_id, 2 as rank, ti as idx, case when fm = tm then 'unchan
 
 def entries_of(t: Tables) -> tuple[DataFrame, DataFrame]:
     pairs = diff.neighbours(t.versions())
-    return pairs, diff.provision_diff(pairs, t.provisions(), F.col("markdown"))
+    return pairs, diff.provision_diff(pairs, t.provisions(), t.texts())
 
 
 @query("w1_provision_diff", sql(f'with {DIFF_SQL} select pair_id, gap::bigint as gap, rank::int as rank, idx::bigint as "index", status, number, from_markdown, to_markdown from entries', "m_versions", "m_provisions"))
 def w1(t: Tables) -> DataFrame:
-    return entries_of(t)[1].select("pair_id", "gap", "rank", "index", "status", "number", "from_markdown", "to_markdown")
+    return diff.with_texts(entries_of(t)[1], t.texts()).select("pair_id", "gap", "rank", "index", "status", "number", "from_markdown", "to_markdown")
 
 
 @query("w1_diff_summary", sql(f"with {DIFF_SQL} select pair_id, count(*) filter (where status = 'added')::bigint as added, count(*) filter (where status = 'removed')::bigint as removed, count(*) filter (where status = 'changed')::bigint as changed, count(*) filter (where status = 'unchanged')::bigint as unchanged from entries group by pair_id", "m_versions", "m_provisions"))

@@ -160,8 +160,7 @@ def clml_to_markdown(files: DataFrame) -> DataFrame:
             rows = []
             for path, content in zip(frame["path"], frame["content"], strict=True):
                 try:
-                    data = bytes(content or b"")
-                    rows.append((path, to_markdown(gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data), None))
+                    rows.append((path, to_markdown(unpacked(content)), None))
                 except (ValueError, ElementTree.ParseError, OSError, EOFError) as e:
                     rows.append((path, None, f"{type(e).__name__}: {e}"))
             yield pd.DataFrame(rows, columns=["path", "markdown", "error"])
@@ -175,6 +174,60 @@ def version_dates(content: bytes) -> list[str]:
     return sorted(x for x in found if re.fullmatch(r"\d{4}-\d{2}-\d{2}", x))
 
 
+def unpacked(content: bytes | None) -> bytes:
+    data = bytes(content or b"")
+    return gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data
+
+
+def version_links(files: DataFrame) -> DataFrame:
+    """(path, date) of the versions that each document (path, content) names; a file that is no XML names none."""
+
+    def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            rows = []
+            for path, content in zip(frame["path"], frame["content"], strict=True):
+                try:
+                    rows += [(path, d) for d in version_dates(unpacked(content))]
+                except (ElementTree.ParseError, OSError, EOFError):
+                    continue
+            yield pd.DataFrame(rows, columns=["path", "date"], dtype=object)
+
+    return files.select("path", "content").mapInPandas(read, "path string, date string")
+
+
+def xml_facts(files: DataFrame) -> DataFrame:
+    """``files`` (content and others) with ``kind`` and ``pdf_linked`` of each.
+
+    Kinds: empty, malformed, non_legislation, full_text (it has a body), metadata_only.
+    """
+
+    @F.pandas_udf("kind string, pdf_linked boolean")
+    def facts(content: pd.Series) -> pd.DataFrame:
+        out = []
+        for raw in content:
+            try:
+                data = unpacked(raw)
+                root = ElementTree.fromstring(data) if data else None
+            except (ElementTree.ParseError, OSError, EOFError):
+                out.append(("malformed", False))
+                continue
+            if root is None:
+                out.append(("empty", False))
+            elif kind(root) != "Legislation":
+                out.append(("non_legislation", False))
+            else:
+                out.append(("full_text" if root.find(f".//{LEG}Body") is not None else "metadata_only", bool(pdf_links(root))))
+        return pd.DataFrame(out, columns=["kind", "pdf_linked"])
+
+    return files.withColumn("_x", facts("content")).withColumns({"kind": F.col("_x.kind"), "pdf_linked": F.col("_x.pdf_linked")}).drop("_x")
+
+
+def still_to_fetch(plan: DataFrame, landed: DataFrame) -> DataFrame:
+    """``plan`` (path) without what has landed (path, content) in a usable state: XML whose root is a document."""
+    usable = xml_facts(landed).where("kind in ('full_text', 'metadata_only')").select("path").distinct()
+    return plan.join(usable, "path", "left_anti")
+
+
 def document_ref(path: Column) -> Column:
     """struct(collection, date, legislation_type, year, number, document_id) from a stored file's path; null fields where it does not fit."""
     p = path

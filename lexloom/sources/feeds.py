@@ -63,7 +63,7 @@ def effect_rows(root: ElementTree.Element) -> Iterator[tuple]:
         refs = []
         for side, tag in (("affected", "AffectedProvisions"), ("affecting", "AffectingProvisions"), ("commencing", "CommencementAuthority")):
             box = e.find(f"{UKM}{tag}")
-            refs += [{"side": side, "ref": s.get("Ref"), "uri": s.get("URI"), "label": " ".join("".join(s.itertext()).split())} for s in (box.iter(f"{UKM}Section") if box is not None else ())]
+            refs += [{"side": side, "ref": s.get("Ref"), "uri": s.get("URI"), "label": " ".join("".join(s.itertext()).split())} for s in (box if box is not None else ()) if s.tag.rpartition("}")[2] in ("Section", "SectionRange")]
         yield (
             e.get("EffectId"), e.get("URI"), e.get("Type", ""), e.get("Applied") == "true", e.get("RequiresApplied") == "true", first is None and any(f.get("Prospective") == "true" for f in forces),
             first.get("Date") if first is not None else None, (first.get("Qualification") or None) if first is not None else None, document_id(first.get("CommencingURI")) if first is not None else None,
@@ -121,6 +121,40 @@ def crawl_plan(types: DataFrame, first_year: int, last_year: int) -> DataFrame:
     return types.where(low <= high).select("legislation_type", F.explode(F.sequence(low, high)).alias("year"))
 
 
+def next_pages(pages: DataFrame) -> DataFrame:
+    """(path, next) of landed feed pages (path, content): the address that each names as the page after it, null on the last."""
+    return parsed(pages, lambda root: iter([(next((a.get("href") for a in root.iterfind(f"{ATOM}link") if a.get("rel") == "next"), None),)]), "next string").select("path", "next")
+
+
+def followed(pages: DataFrame, starts: DataFrame) -> DataFrame:
+    """Landed ``pages`` (path, content) that are reached from ``starts`` (path) by following each page's next.
+
+    Links are doubled in every round, so a list of n pages takes about log n rounds, and a list that leads
+    back into itself ends as well.
+    """
+    step = next_pages(pages).where("next is not null")
+    reached = starts.select("path").distinct()
+    known = reached.count()
+    while True:
+        reached = reached.union(reached.join(step, "path").select(F.col("next").alias("path"))).distinct()
+        now = reached.count()
+        if now == known:
+            return pages.join(reached, "path", "left_semi")
+        known = now
+        step = step.alias("a").join(step.alias("b"), F.col("a.next") == F.col("b.path")).select(F.col("a.path").alias("path"), F.col("b.next").alias("next"))
+
+
+def range_plan(years: DataFrame, width: int = 100) -> DataFrame:
+    """(legislation_type, year, first, last): years (legislation_type, year, status, highest) whose listing was refused as too long, in ranges of numbers.
+
+    436 is the answer to a list that is too long; others are listed whole, as the range from 1 on without end.
+    """
+    long = years.where("status = 436").select("legislation_type", "year", F.explode(F.sequence(F.lit(1), F.greatest("highest", F.lit(1)), F.lit(width))).alias("first"), "highest")
+    ranges = long.select("legislation_type", "year", "first", F.least(F.col("first") + width - 1, F.greatest("highest", F.lit(1))).alias("last"))
+    whole = years.where("status <> 436").select("legislation_type", "year", F.lit(1).alias("first"), F.lit(None).cast("int").alias("last"))
+    return ranges.unionByName(whole)
+
+
 def number_ranges(first: int, last: int, width: int = 100) -> list[tuple[int, int]]:
     """Ranges of document numbers that together cover ``first`` to ``last``, for years too long for one list."""
     return [(a, min(a + width - 1, last)) for a in range(first, last + 1, width)]

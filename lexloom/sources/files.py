@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import csv
 import gzip
 import io
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -34,16 +36,27 @@ def scan_markdown(spark: SparkSession, path: str, types: list[str] | None = None
     return rows.where(F.col("ref.legislation_type").isin(*types)) if types else rows
 
 
+def headers(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """The first line of each file, in one job."""
+    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("n"), "value")
+    first = lines.where("start = 0").groupBy("file").agg(F.min_by("value", "n").alias("line")).collect()  # a row for each file
+    return {r["file"]: r["line"].lstrip("\ufeff").rstrip("\r") for r in first}
+
+
 def read_duties(spark: SparkSession, paths: list[str]) -> tuple[DataFrame, list[str]]:
-    """(rows, failures): files whose header lacks a column are failures and give no rows."""
+    """(rows, failures): files whose header lacks a column are failures and give no rows; files of one header are read as one."""
+    groups: dict[str, list[str]] = {}
+    for path, line in sorted(headers(spark, paths).items()):
+        groups.setdefault(line, []).append(path)
     out, failures = None, []
-    for path in paths:
-        own = spark.read.csv(path, header=True, multiLine=True, escape='"', encoding="UTF-8")
-        own = own.toDF(*[c.lstrip("﻿") for c in own.columns])
-        if missing := [c for c in DUTY_COLUMNS if c not in own.columns]:
-            failures.append(f"{path}: no column {', '.join(missing)}")
+    for line, own in sorted(groups.items()):
+        columns = next(csv.reader([line]))
+        if missing := [c for c in DUTY_COLUMNS if c not in columns]:
+            failures += [f"{path}: no column {', '.join(missing)}" for path in own]
             continue
-        rows = own.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in DUTY_COLUMNS], F.lit(path).alias("source_file"))
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+        raw = spark.read.schema(schema).csv(own, header=True, multiLine=True, escape='"', encoding="UTF-8", enforceSchema=True)
+        rows = raw.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in DUTY_COLUMNS], F.col("_metadata.file_path").alias("source_file"))
         out = rows if out is None else out.unionByName(rows)
     return out if out is not None else spark.createDataFrame([], ", ".join(f"{c} string" for c in (*DUTY_COLUMNS, "source_file"))), failures
 
@@ -57,6 +70,11 @@ def read_report(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(REPORT).json(path, multiLine=True)
 
 
+def write_report(rows: DataFrame, path: str) -> None:
+    """Reports (columns of REPORT) as files that ``read_report`` reads, one report a file."""
+    rows.repartition(max(rows.count(), 1), F.monotonically_increasing_id()).write.mode("overwrite").option("maxRecordsPerFile", 1).json(path)
+
+
 def read_layout(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LAYOUT).json(path, multiLine=True).withColumn("path", F.col("_metadata.file_path"))
 
@@ -67,17 +85,28 @@ def act_list(spark: SparkSession, path: str) -> DataFrame:
 
 
 def unzip(files: DataFrame) -> DataFrame:
-    """(path, member, content, document_id) of the XML members of zip files (path, content)."""
+    """(path, member, content, document_id, error) of the XML members of zip files (path, content).
+
+    A file or member that can't be read has its error instead of content; the others are not affected.
+    """
 
     def members(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for path, content in zip(frame["path"], frame["content"], strict=True):
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    for n in sorted(x for x in z.namelist() if x.endswith(".xml")):
-                        yield pd.DataFrame([(path, n, z.read(n))], columns=["path", "member", "content"])
-
-    rows = files.select("path", "content").mapInPandas(members, "path string, member string, content binary")
-    return rows.withColumn("document_id", seed_ref(F.regexp_extract(F.decode("content", "UTF-8"), r'DocumentURI="([^"]*)"', 1)))
+                rows: list[tuple] = []
+                try:
+                    with zipfile.ZipFile(io.BytesIO(bytes(content or b""))) as z:
+                        for n in sorted(x for x in z.namelist() if x.endswith(".xml")):
+                            try:
+                                rows.append((path, n, z.read(n), None))
+                            except (zipfile.BadZipFile, zlib.error, NotImplementedError, RuntimeError) as e:
+                                rows.append((path, n, None, str(e)))
+                except zipfile.BadZipFile as e:
+                    rows.append((path, None, None, str(e)))
+                yield pd.DataFrame(rows, columns=["path", "member", "content", "error"], dtype=object)
+
+    rows = files.select("path", "content").mapInPandas(members, "path string, member string, content binary, error string")
+    return rows.select("path", "member", "content", seed_ref(F.regexp_extract(F.decode("content", "UTF-8"), r'DocumentURI="([^"]*)"', 1)).alias("document_id"), "error")
 
 
 def seed_ref(address: Column) -> Column:
