@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -10,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexloom.functions.text import comparison_text
+from lexloom.operators.keyed import small
 
 
 def neighbours(versions: DataFrame) -> DataFrame:
@@ -31,22 +33,32 @@ def provision_key(df: DataFrame) -> DataFrame:
 SHOWN = ("provision_type", "number", "extent", "heading", "anchor", "text_sha256")
 
 
-def provision_diff(pairs: DataFrame, provisions: DataFrame, texts: DataFrame, compare: Column | None = None) -> DataFrame:
+def compare_code(markdown: Column, compare: Callable[[Column], Column] = comparison_text) -> Column:
+    """128 bits of a text as readers compare it."""
+    plain = compare(markdown)
+    return F.struct(F.xxhash64(plain).alias("a"), F.xxhash64(F.lit(1), plain).alias("b"))
+
+
+def provision_diff(pairs: DataFrame, provisions: DataFrame, texts: DataFrame | None = None, compare: Callable[[Column], Column] = comparison_text) -> DataFrame:
     """One row for each entry of each pair's difference, in reading order by (gap, rank, index).
 
     Provisions of equal key and occurrence match.  Walking the later version, a match counts only if it
     lies beyond every earlier match in the earlier version: its index exceeds the running maximum, which
     rejected matches never raise.  Unmatched rows stand in the gap before the next match, removals first.
-    ``compare`` (over ``markdown``) normalises the text that decides between changed and unchanged.
+    ``compare`` normalises the texts that decide between changed and unchanged.
 
-    Each of ``texts`` (text_sha256, markdown) is normalised once and stands for itself by a hash of 128
-    bits; no text is shuffled.  Changed entries name theirs by ``from_sha256`` and ``to_sha256`` (see
-    ``with_texts``).  Versions are numbered before pairs are made of them, and all that is done to a pair
-    is done where it lies: two shuffles of narrow rows, by version and by pair.
+    A text stands for itself by a hash of 128 bits of its normal form, which provisions carry from their
+    publication as ``compare_code``; for provisions without it each of ``texts`` (text_sha256, markdown)
+    is normalised once.  No text is shuffled: changed entries name theirs by ``from_sha256`` and
+    ``to_sha256`` (see ``with_texts``).  Versions are numbered before pairs are made of them, and all that
+    is done to a pair is done where it lies: two shuffles of narrow rows, by version and by pair.
     """
-    plain = comparison_text(F.col("markdown")) if compare is None else compare
-    codes = texts.select("text_sha256", F.struct(F.xxhash64(plain).alias("a"), F.xxhash64(F.lit(1), plain).alias("b")).alias("_code"))
-    own = provisions.select("version_id", "ordinal", *SHOWN).join(codes, "text_sha256", "left").repartition("version_id")
+    if "compare_code" in provisions.columns:
+        own = provisions.select("version_id", "ordinal", *SHOWN, F.col("compare_code").alias("_code"))
+    else:
+        codes = texts.select("text_sha256", compare_code(F.col("markdown"), compare).alias("_code"))
+        own = provisions.select("version_id", "ordinal", *SHOWN).join(codes, "text_sha256", "left")
+    own = own.repartition("version_id")
     own = provision_key(own).withColumn("_i", F.row_number().over(Window.partitionBy("version_id").orderBy("ordinal")))
     ends = F.array(F.struct(F.col("from_version_id").alias("version_id"), F.lit(False).alias("_later")), F.struct(F.col("to_version_id").alias("version_id"), F.lit(True).alias("_later")))
     sides = pairs.select("pair_id", F.explode(ends).alias("s")).select("pair_id", "s.*")
@@ -78,6 +90,7 @@ def provision_diff(pairs: DataFrame, provisions: DataFrame, texts: DataFrame, co
 
 def with_texts(entries: DataFrame, texts: DataFrame) -> DataFrame:
     """``entries`` with from_markdown and to_markdown instead of hashes; entries without a hash are dealt out evenly, not to one task."""
+    texts = small(texts.select("text_sha256", "markdown"), "text_sha256", "markdown")
     for name in ("from", "to"):
         own = texts.select(F.col("text_sha256").alias("_sha"), F.col("markdown").alias(f"{name}_markdown"))
         spread = F.concat(F.lit("-"), F.xxhash64("pair_id", "index").cast("string"))

@@ -31,6 +31,23 @@ def replace_children(old: DataFrame, new: DataFrame, parent: list[str]) -> DataF
     return old.join(new.select(*parent).distinct(), parent, "left_anti").select(old.columns).unionByName(new)
 
 
+#: A table is broadcast up to SMALL bytes, and measured for that only where Spark expects MEASURED bytes at most.
+SMALL, MEASURED = 8 << 20, 1 << 28
+
+
+def small(df: DataFrame, *columns: str) -> DataFrame:
+    """``df`` marked for broadcast if its string ``columns`` are measured to have SMALL bytes at most in all, else as it is.
+
+    For tables whose size Spark cannot tell beforehand, such as distinct values.  One job measures; tables
+    that may be large are not measured and are joined by key.
+    """
+    expected = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if int(str(expected)) > MEASURED:
+        return df
+    held = df.agg(F.sum(sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in columns), F.lit(16))).alias("b")).first()["b"] or 0
+    return F.broadcast(df) if held <= SMALL else df
+
+
 #: Parts that ``numbered`` counts in.
 PARTS = 1024
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexloom.functions import text as t
+from lexloom.operators.diff import compare_code
 from lexloom.operators.keyed import distinct_on, insert_absent, replace_children, upsert
 
 
@@ -29,6 +30,7 @@ def split_provisions(docs: DataFrame, body: str = "body", strict_suffix: bool =
         "provision_type": t.provision_type(F.col("heading"), F.col("number")),
         "plain_text": t.markdown_to_text(F.col("provision_markdown")),
         "text_sha256": F.sha2("provision_markdown", 256),
+        "compare_code": compare_code(F.col("provision_markdown")),
     }).drop("_has", "_pos", "_part", body)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexloom.functions import text as t
+from lexloom.operators.diff import compare_code
 
 EFFECT_TYPES = {"1-URGENT": "substituted", "2-HIGH": "coming into force", "3-MEDIUM": "applied", "4-NOT SPECIFIED": "", "5-LOW": "inserted"}
 
@@ -48,7 +49,7 @@ class Tables:
         return self.dated_lines().selectExpr(
             "concat(l_partkey, ':', y) as version_id", "l_partkey as document_id", "ordinal", "'section' as provision_type", "cast(l_linenumber as string) as number", "cast(null as string) as extent",
             "concat('h', l_linenumber) as heading", "concat('a', l_linenumber) as anchor", "markdown", "sha2(markdown, 256) as text_sha256",
-        )
+        ).withColumn("compare_code", compare_code(F.col("markdown")))
 
     def texts(self) -> DataFrame:
         return self.read("lineitem").selectExpr(f"{MARKDOWN} as markdown").distinct().selectExpr("sha2(markdown, 256) as text_sha256", "markdown")
