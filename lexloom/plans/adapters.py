@@ -17,6 +17,11 @@ EFFECT_TYPES = {"1-URGENT": "substituted", "2-HIGH": "coming into force", "3-MED
 MARKDOWN = "concat(l_returnflag, case l_suppkey % 3 when 0 then ', ' when 1 then ' , ' else ',  ' end, l_linestatus)"
 
 
+#: Kinds and extents: provisions 7 are schedules, of some suppliers a reading for one extent only.
+KIND = "case when l_linenumber = 7 then 'schedule' else 'section' end"
+EXTENT = "case l_suppkey % 5 when 0 then 'S' when 1 then 'E+W' end"
+
+
 @dataclass
 class Tables:
     spark: SparkSession
@@ -47,7 +52,7 @@ class Tables:
 
     def provisions(self) -> DataFrame:
         return self.dated_lines().selectExpr(
-            "concat(l_partkey, ':', y) as version_id", "l_partkey as document_id", "ordinal", "'section' as provision_type", "cast(l_linenumber as string) as number", "cast(null as string) as extent",
+            "concat(l_partkey, ':', y) as version_id", "l_partkey as document_id", "ordinal", f"{KIND} as provision_type", "cast(l_linenumber as string) as number", f"{EXTENT} as extent",
             "concat('h', l_linenumber) as heading", "concat('a', l_linenumber) as anchor", "markdown", "sha2(markdown, 256) as text_sha256",
         ).withColumn("compare_code", compare_code(F.col("markdown")))
 
@@ -96,7 +101,7 @@ CTES = {
     "m_lines": f"""select l_partkey, year(l_shipdate)::int as y, l_shipdate, l_orderkey, l_linenumber, l_suppkey, l_extendedprice, {MARKDOWN} as markdown,
       row_number() over (partition by l_partkey, year(l_shipdate) order by l_shipdate, l_orderkey, l_linenumber, l_suppkey, l_extendedprice) as ordinal from lineitem""",
     "m_versions": "select distinct l_partkey || ':' || year(l_shipdate) as version_id, l_partkey as document_id, make_date(year(l_shipdate), 1, 1) as snapshot_date from lineitem",
-    "m_provisions": """select l_partkey || ':' || y as version_id, l_partkey as document_id, ordinal::int as ordinal, 'section' as provision_type, l_linenumber::varchar as number, null::varchar as extent, 'h' || l_linenumber as heading, 'a' || l_linenumber as anchor,
+    "m_provisions": f"""select l_partkey || ':' || y as version_id, l_partkey as document_id, ordinal::int as ordinal, {KIND} as provision_type, l_linenumber::varchar as number, {EXTENT} as extent, 'h' || l_linenumber as heading, 'a' || l_linenumber as anchor,
       markdown, sha256(markdown) as text_sha256 from m_lines""",
     "m_effects": f"""select concat_ws(':', l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate::date, round(l_extendedprice * 100)::bigint) as effect_id, o_custkey as affecting_document_id, l_partkey as affected_document_id, 'part ' || l_partkey as affected_title,
       o_orderdate::date as in_force_date, case o_orderpriority {" ".join(f"when '{k}' then '{dict(substituted="T", applied="NT", inserted="T").get(v, "CO" if v else "UN")}'" for k, v in EFFECT_TYPES.items())} end as textual_kind,

