@@ -16,11 +16,14 @@ def split_provisions(docs: DataFrame, body: str = "body", strict_suffix: bool =
     """``docs`` with one row for each level-2 heading of ``body``, up to the next one.
 
     Text before the first heading is dropped; a body without headings is one provision named Document.
+    Signs without a heading take the next line for it, even if that is a heading: such a line is held
+    back from the split by a character that no text has.
     """
     has = F.col(body).rlike(r"(?md)^##(?U:\s)+(?U:\S)")
-    starts = F.split(F.col(body), r"(?md)(?=^##(?U:\s)+(?U:\S))")
+    held = F.regexp_replace(F.col(body), r"(?md)^##((?U:\s)+)##(?=(?U:\s)|\z)", "##$1\x00##")
+    starts = F.split(held, r"(?md)(?=^##(?U:\s)+(?U:\S))")
     parts = F.when(has, F.filter(starts, lambda x: x.rlike(r"(?d)\A##(?U:\s)+(?U:\S)"))).otherwise(F.array(F.col(body)))
-    rows = docs.withColumn("_has", has).select("*", F.posexplode(parts).alias("_pos", "_part"))
+    rows = docs.withColumn("_has", has).select("*", F.posexplode(F.transform(parts, lambda x: F.translate(x, "\x00", ""))).alias("_pos", "_part"))
     heading = F.when(F.col("_has"), F.trim(F.regexp_extract(F.col("_part"), r"(?d)\A##(?U:\s)+(.+?)(?U:\s)*(?:\n|\z)", 1))).otherwise("Document")
     rows = rows.withColumn("ordinal", F.col("_pos") + 1).withColumn("heading", heading).withColumn("provision_markdown", F.regexp_replace("_part", r"(?U)\A\s+|\s+\z", ""))
     rows = rows.withColumn("number", F.when(F.col("_has"), t.heading_number(F.col("heading"), strict_suffix))).withColumn("extent", F.when(F.col("_has"), t.extent_suffix(F.col("heading"))))

@@ -237,6 +237,12 @@ def f10(tb: Tables) -> DataFrame:
     return rendered.select(F.col("path").cast("long").alias("c_custkey"), F.expr(r"regexp_extract_all(markdown, '(?m)^## (.*)$', 1)").alias("headings"))
 
 
+@query("t32_pretty_xml", "select c_custkey, '<?xml version=''1.0'' encoding=''utf-8''?>' || chr(10) || '<a>' || chr(10) || '  <b n=\"' || c_custkey || '\">x</b>' || chr(10) || '  <c />' || chr(10) || '</a>' as xml from customer")
+def t32(tb: Tables) -> DataFrame:
+    raw = tb.read("customer").select("c_custkey", xml_of('<a><b n="{n}">x</b>\n\n<c/></a>', "c_custkey").alias("content"))
+    return clml.pretty(raw).select("c_custkey", F.decode("content", "UTF-8").alias("xml"))
+
+
 # --- text -----------------------------------------------------------------------------------------
 
 

@@ -15,6 +15,7 @@ from xml.etree import ElementTree
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Namespaces, and the sentence that stands for a missing text.
 LEG, UKM, ATOM, DC = "{http://www.legislation.gov.uk/namespaces/legislation}", "{http://www.legislation.gov.uk/namespaces/metadata}", "{http://www.w3.org/2005/Atom}", "{http://purl.org/dc/elements/1.1/}"
@@ -222,6 +223,25 @@ def xml_facts(files: DataFrame) -> DataFrame:
     return files.withColumn("_x", facts("content")).withColumns({"kind": F.col("_x.kind"), "pdf_linked": F.col("_x.pdf_linked")}).drop("_x")
 
 
+def pretty(files: DataFrame) -> DataFrame:
+    """``files`` (content and others) with the XML indented, an element a line, as it is written to the store; what is no XML stays as it is."""
+
+    @F.pandas_udf(T.BinaryType())
+    def indented(content: pd.Series) -> pd.Series:
+        out = []
+        for raw in content:
+            try:
+                root = ElementTree.fromstring(unpacked(raw))
+            except (ElementTree.ParseError, OSError, EOFError):
+                out.append(raw)
+                continue
+            ElementTree.indent(root)
+            out.append(ElementTree.tostring(root, encoding="utf-8", xml_declaration=True))
+        return pd.Series(out)
+
+    return files.withColumn("content", indented("content"))
+
+
 def still_to_fetch(plan: DataFrame, landed: DataFrame) -> DataFrame:
     """``plan`` (path) without what has landed (path, content) in a usable state: XML whose root is a document."""
     usable = xml_facts(landed).where("kind in ('full_text', 'metadata_only')").select("path").distinct()

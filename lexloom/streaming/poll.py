@@ -175,4 +175,10 @@ def distinct_events(stream: DataFrame, time: str, key: str, late: str) -> DataFr
 
 
 def work_dir(spark: SparkSession, root: str, name: str) -> str:
-    return f"{root.rstrip('/')}/lexloom-stream/{name}-{uuid.uuid4().hex}"
+    """A folder of its own below ``root`` that is deleted when the driver's JVM ends."""
+    path = f"{root.rstrip('/')}/lexloom-stream/{name}-{uuid.uuid4().hex}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(place)
+    system.deleteOnExit(place)
+    return path
