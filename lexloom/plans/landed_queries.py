@@ -188,8 +188,8 @@ def s15(tb: Tables) -> DataFrame:
     root = poll.work_dir(tb.spark, shared_dir(tb.spark), "lines")
     line = F.to_json(F.struct(F.col("p_partkey").alias("id"), F.array("p_name").alias("targets"), F.lit(True).alias("is_direction_power"), F.lower("p_type").alias("instrument")))
     bad = F.when(F.col("p_partkey") % 10 == 0, '{"id": "word"}').otherwise("{broken")
-    tb.read("part").select(F.when(F.col("p_partkey") % 5 == 0, bad).otherwise(line).alias("value")).write.text(root)
-    return files.read_enrichment(tb.spark, root).select("id", "instrument", F.size("targets").alias("targets"))
+    tb.read("part").select(F.when(F.col("p_partkey") % 5 == 0, bad).otherwise(line).alias("value")).write.text(f"{root}/rows")
+    return files.read_enrichment(tb.spark, f"{root}/rows").select("id", "instrument", F.size("targets").alias("targets"))
 
 
 @query("s16_fetch_reports", "select r_name as legislation_type, stage, category, count(*)::bigint as n from (select r_name, unnest(['fetch', 'fetch', 'parse']) as stage, unnest(['timeout', 'HTTP status 404', 'empty or malformed XML']) as category from region) group by all")
@@ -215,8 +215,8 @@ def s17(tb: Tables) -> DataFrame:
 def s18(tb: Tables) -> DataFrame:
     root = poll.work_dir(tb.spark, shared_dir(tb.spark), "acts")
     own = F.concat(F.lit("  ukpga/2001/"), F.col("s_suppkey").cast("string"), F.lit("  # "), "s_name")
-    tb.read("supplier").select(F.when(F.col("s_suppkey") % 3 > 0, own).otherwise(F.concat(F.lit("# "), "s_name")).alias("value")).write.text(root)
-    return files.act_list(tb.spark, root)
+    tb.read("supplier").select(F.when(F.col("s_suppkey") % 3 > 0, own).otherwise(F.concat(F.lit("# "), "s_name")).alias("value")).write.text(f"{root}/rows")
+    return files.act_list(tb.spark, f"{root}/rows")
 
 
 @query("x4_commentaries", """select c_custkey, sha256('---' || chr(10) || 'title: "Act ' || c_custkey || '"' || chr(10) || 'document_uri: "http://x/' || c_custkey || '"' || chr(10) || '---' || chr(10) || chr(10) || '# Act ' || c_custkey || chr(10) || chr(10) || '## 1 Head' || chr(10) || chr(10)
