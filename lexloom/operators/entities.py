@@ -128,15 +128,18 @@ def fuzzy_candidates(names: DataFrame, catalogue: DataFrame, *, n: int = 8, cuto
             for k, entries in shelf.items():
                 inside = len(key) > 8 and (key in k or k in key)
                 if k in close or inside:
+                    # Closeness is the ratio from the key to the name, which is not always the one from the name to the key.
+                    score = difflib.SequenceMatcher(None, k, key).ratio() if k in close else None
                     ratio = difflib.SequenceMatcher(None, key, k).ratio()
-                    out += [(name, k, k in close, inside, int(e), d, ratio) for e, d in entries]
-        return pd.DataFrame(out, columns=["name", "key", "close", "inside", "entity_id", "display", "ratio"])
+                    out += [(name, k, score, inside, int(e), d, ratio) for e, d in entries]
+        return pd.DataFrame(out, columns=["name", "key", "score", "inside", "entity_id", "display", "ratio"])
 
-    schema = "name string, key string, close boolean, inside boolean, entity_id long, display string, ratio double"
+    schema = "name string, key string, score double, inside boolean, entity_id long, display string, ratio double"
     found = asked.groupBy("shard", "block").cogroup(book.groupBy("shard", "block")).applyInPandas(match, schema)
     # Of all shards' close keys the best n stay; a tie goes to the later key, as within a shard.
-    best = Window.partitionBy("name").orderBy(F.col("close").desc(), F.col("ratio").desc(), F.col("key").desc())
-    left = found.withColumn("_k", F.dense_rank().over(best)).where((F.col("close") & (F.col("_k") <= n)) | F.col("inside"))
+    scored = found.withColumn("score", F.when(~F.isnan("score"), F.col("score")))
+    best = Window.partitionBy("name").orderBy(F.col("score").desc_nulls_last(), F.col("key").desc())
+    left = scored.withColumn("_k", F.dense_rank().over(best)).where((F.col("score").isNotNull() & (F.col("_k") <= n)) | F.col("inside"))
     one = distinct_on(left, ["name", "entity_id"], [F.col("ratio").desc(), F.col("key")])
     ranked = one.withColumn("rank", F.row_number().over(Window.partitionBy("name").orderBy(F.col("ratio").desc(), "entity_id")))
     return ranked.where(F.col("rank") <= keep).select("name", "entity_id", "display", "ratio", "rank")

@@ -12,7 +12,7 @@ def test_names_and_sql_agree():
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables are not here")
-@pytest.mark.parametrize("name", ["w1_provision_diff", "a5_verify_effects", "p1_search_powers", "f1_list_documents", "b7_duties"])
+@pytest.mark.parametrize("name", ["w1_provision_diff", "a5_verify_effects", "p1_search_powers", "f1_list_documents", "b7_duties", "t12_comparison_text", "j15_unattached_effects", "e2_replayed_upsert", "s5_followed_pages", "s7_effect_refs", "s14_unzipped", "b9_dictionary", "b11_new_names", "b5_rerendered", "a12_coverage_counters", "p3_search_by_phrases"])
 def test_query_equals_sql(spark, name):
     import duckdb
 

@@ -3,6 +3,7 @@
 import difflib
 import random
 
+from lexloom.operators import entities, keyed
 from lexloom.plans import more_queries  # noqa: F401
 from lexloom.plans.queries import QUERIES
 
@@ -35,3 +36,33 @@ def test_fuzzy_candidates_of_all_customers(spark, tmp_path):
         ranked = sorted((-difflib.SequenceMatcher(None, key(name), key(d)).ratio(), i) for i, d in suppliers.items())
         want[name] = [(n, i, round(-r, 6)) for n, (r, i) in enumerate(((r, i) for r, i in ranked if -r >= 0.72), 1)]
     assert {k: sorted(v) for k, v in got.items()} == want
+
+
+def test_shards_of_the_catalogue_change_nothing(spark, monkeypatch):
+    r = random.Random(4)
+    word = lambda: "".join(r.choice("abcde") for _ in range(r.randint(4, 9)))
+    book = spark.createDataFrame([(i, f"{word()} {word()} office") for i in range(60)] + [(100, "abc"), (101, "The abc")], "entity_id long, display string")
+    names = spark.createDataFrame([(f"{word()} {word()} office",) for _ in range(15)] + [("abc",), ("zzzzzz",)], "name string")
+    ask = lambda: sorted(map(tuple, entities.fuzzy_candidates(names, book, n=5, cutoff=0.5, keep=4).collect()))
+    whole = ask()
+    monkeypatch.setattr(entities, "SHARD_KEYS", 7)
+    monkeypatch.setattr(entities, "BLOCK_NAMES", 4)
+    assert ask() == whole and len({x[0] for x in whole}) > 10
+
+
+def test_numbers_have_no_gaps_and_do_not_depend_on_partitions(spark):
+    df = spark.range(3000).selectExpr("concat('k', id) as k")
+    one = {x["k"]: x["_number"] for x in keyed.numbered(df.repartition(7), ["k"], 10).collect()}
+    assert sorted(one.values()) == list(range(11, 3011))
+    assert one == {x["k"]: x["_number"] for x in keyed.numbered(df.coalesce(1), ["k"], 10).collect()}
+    assert keyed.numbered(df.limit(0), ["k"]).count() == 0
+
+
+def test_only_measured_small_tables_are_broadcast(spark, monkeypatch):
+    hinted = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
+    df = spark.range(100).selectExpr("cast(id as string) as k")
+    assert hinted(keyed.small(df, "k"))
+    monkeypatch.setattr(keyed, "SMALL", 10)
+    assert not hinted(keyed.small(df, "k"))
+    monkeypatch.setattr(keyed, "MEASURED", 10)
+    assert not hinted(keyed.small(df, "k"))
