@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import difflib
+import heapq
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -103,17 +105,74 @@ def resolution_ratio(duties: DataFrame, entities: DataFrame, aliases: DataFrame)
 
 #: Keys of the catalogue, and names, that one task compares with each other.
 SHARD_KEYS, BLOCK_NAMES = 20_000, 2_000
+#: A common subsequence is counted in one word of bits, so for strings of this length at most.
+WORD_BITS = 64
+
+
+class Shelf:
+    """Keys (of `t.match_name`, so ASCII) with what bounds their ratio to a name, for all keys at once.
+
+    The blocks that a ratio counts are a common subsequence, and that is a common multiset of characters: twice the size
+    of either over both lengths is never below the ratio.  So only keys whose bound reaches a ratio found are compared.
+    """
+
+    def __init__(self, keys: list[str]) -> None:
+        self.keys = keys
+        own = [np.frombuffer(k.encode("ascii"), np.uint8) for k in keys]
+        self.lengths = np.array([len(x) for x in own], np.int64)
+        self.counts = np.zeros((128, len(keys)), np.int32)
+        self.places = np.zeros((WORD_BITS, len(keys)), np.uint8)
+        for i, x in enumerate(own):
+            self.counts[:, i] = np.bincount(x, minlength=128)
+            self.places[: len(x), i] = x[:WORD_BITS]
+
+    def common(self, name: np.ndarray) -> np.ndarray:
+        """Characters that each key shares with the name, in any order."""
+        out = np.zeros(len(self.keys), np.int64)
+        for c, n in zip(*np.unique(name, return_counts=True), strict=True):
+            out += np.minimum(self.counts[c], n)
+        return out
+
+    def in_order(self, name: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Length of the longest common subsequence of the name and each key of ``at``, none longer than a word of bits."""
+        masks = np.zeros(128, np.uint64)
+        np.bitwise_or.at(masks, name, np.uint64(1) << np.arange(len(name), dtype=np.uint64))
+        open_ = np.full(len(at), ~np.uint64(0))
+        for row in self.places[: self.lengths[at].max(initial=0)]:
+            met = masks[row[at]]
+            open_ = (open_ + (open_ & met)) | (open_ & ~met)
+        return np.bitwise_count(~open_).astype(np.int64)
+
+    def close(self, key: str, n: int, cutoff: float) -> tuple[dict[str, float], list[str]]:
+        """The ``n`` keys of the best ratio of at least ``cutoff``, a tie to the later key, and all keys that hold the name or lie in it."""
+        name = np.frombuffer(key.encode("ascii"), np.uint8)
+        common, both = self.common(name), np.maximum(self.lengths + len(name), 1)
+        within = np.flatnonzero(common == np.minimum(self.lengths, len(name)))
+        inside = [k for i in within if key in (k := self.keys[i]) or k in key]
+        left = np.flatnonzero(2.0 * common / both >= cutoff)
+        short = left[self.lengths[left] <= WORD_BITS] if len(name) <= WORD_BITS else left[:0]
+        common[short] = self.in_order(name, short)
+        bound = 2.0 * common[left] / both[left]
+        matcher, best = difflib.SequenceMatcher(b=key), []
+        for i in np.argsort(-bound, kind="stable"):
+            if bound[i] < cutoff or (len(best) == n and bound[i] < best[0][0]):
+                break
+            matcher.set_seq1(self.keys[left[i]])
+            found = (matcher.ratio(), self.keys[left[i]])
+            if found[0] >= cutoff:
+                (heapq.heappush if len(best) < n else heapq.heappushpop)(best, found)
+        return {k: score for score, k in best}, inside
 
 
 def fuzzy_candidates(names: DataFrame, catalogue: DataFrame, *, n: int = 8, cutoff: float = 0.72, keep: int = 6) -> DataFrame:
     """(name, entity_id, display, ratio, rank): for each name the closest catalogue entries (entity_id, display).
 
     Close are the ``n`` best keys with a ratio of at least ``cutoff``, and for names longer than 8
-    characters keys that contain the name or lie in it.  Blocks of names meet shards of the catalogue, each
+    characters keys that contain the name or lie in it.  A name that has no letters or digits, or is null, has none.  Blocks of names meet shards of the catalogue, each
     pair of them in a task of its own, whatever the sizes of both; a shard's best are merged by name.
     """
     keyed = catalogue.withColumn("key", t.match_name(F.col("display"))).where("key <> ''")
-    asked = names.select("name", t.match_name(F.col("name")).alias("key")).distinct()
+    asked = names.select("name", t.match_name(F.col("name")).alias("key")).where("key <> ''").distinct()
     count = lambda df: df.agg(F.approx_count_distinct("key").alias("c")).first()["c"]
     shards, blocks = count(keyed) // SHARD_KEYS + 1, count(asked) // BLOCK_NAMES + 1
     every = lambda k: F.explode(F.sequence(F.lit(0), F.lit(k - 1)))
@@ -121,17 +180,15 @@ def fuzzy_candidates(names: DataFrame, catalogue: DataFrame, *, n: int = 8, cuto
     asked = asked.select("name", "key", every(shards).alias("shard"), F.pmod(F.xxhash64("name"), F.lit(blocks)).alias("block"))
 
     def match(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        shelf = {k: list(zip(g["entity_id"], g["display"], strict=True)) for k, g in right.sort_values(["key", "entity_id"]).groupby("key", sort=True)}
-        out = []
+        entries = {k: list(zip(g["entity_id"], g["display"], strict=True)) for k, g in right.sort_values(["key", "entity_id"]).groupby("key", sort=True)}
+        shelf, out = Shelf(list(entries)), []
         for name, key in zip(left["name"], left["key"], strict=True):
-            close = set(difflib.get_close_matches(key, shelf.keys(), n=n, cutoff=cutoff))
-            for k, entries in shelf.items():
-                inside = len(key) > 8 and (key in k or k in key)
-                if k in close or inside:
-                    # Closeness is the ratio from the key to the name, which is not always the one from the name to the key.
-                    score = difflib.SequenceMatcher(None, k, key).ratio() if k in close else None
-                    ratio = difflib.SequenceMatcher(None, key, k).ratio()
-                    out += [(name, k, score, inside, int(e), d, ratio) for e, d in entries]
+            # Closeness is the ratio from the key to the name, which is not always the one from the name to the key.
+            close, held = shelf.close(key, n, cutoff)
+            inside = set(held) if len(key) > 8 else set()
+            for k in sorted(close.keys() | inside):
+                ratio = difflib.SequenceMatcher(None, key, k).ratio()
+                out += [(name, k, close.get(k), k in inside, int(e), d, ratio) for e, d in entries[k]]
         return pd.DataFrame(out, columns=["name", "key", "score", "inside", "entity_id", "display", "ratio"])
 
     schema = "name string, key string, score double, inside boolean, entity_id long, display string, ratio double"

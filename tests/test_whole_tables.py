@@ -50,6 +50,27 @@ def test_shards_of_the_catalogue_change_nothing(spark, monkeypatch):
     assert ask() == whole and len({x[0] for x in whole}) > 10
 
 
+def test_bounds_lose_no_close_key():
+    r = random.Random(5)
+    for letters in ("ab ", "abcde0 ", "0123456789"):
+        word = lambda letters=letters: "".join(r.choice(letters) for _ in range(r.choice((1, 3, 9, 20, 63, 64, 65, 230)))).strip() or "a"
+        keys = sorted({word() for _ in range(80)})
+        shelf = entities.Shelf(keys)
+        for key in [*(word() for _ in range(10)), *r.sample(keys, 3), keys[0] + "a", keys[-1][:7]]:
+            for n, cutoff in ((1, 0.3), (3, 0.72), (8, 0.5)):
+                close, inside = shelf.close(key, n, cutoff)
+                assert sorted(close) == sorted(difflib.get_close_matches(key, keys, n=n, cutoff=cutoff))
+                assert all(v == difflib.SequenceMatcher(None, k, key).ratio() for k, v in close.items())
+                assert inside == [k for k in keys if key in k or k in key]
+    assert entities.Shelf([]).close("abc", 8, 0.5) == ({}, [])
+
+
+def test_names_without_letters_are_close_to_nothing(spark):
+    book = spark.createDataFrame([(1, "Office of Works"), (2, "!!"), (3, None)], "entity_id long, display string")
+    names = spark.createDataFrame([("??",), (None,), ("",), ("office of work",)], "name string")
+    assert [(x["name"], x["entity_id"], x["rank"]) for x in entities.fuzzy_candidates(names, book).collect()] == [("office of work", 1, 1)]
+
+
 def test_numbers_have_no_gaps_and_do_not_depend_on_partitions(spark):
     df = spark.range(3000).selectExpr("concat('k', id) as k")
     one = {x["k"]: x["_number"] for x in keyed.numbered(df.repartition(7), ["k"], 10).collect()}
