@@ -104,7 +104,9 @@ def resolution_ratio(duties: DataFrame, entities: DataFrame, aliases: DataFrame)
 
 
 #: Keys of the catalogue, and names, that one task compares with each other.
-SHARD_KEYS, BLOCK_NAMES = 20_000, 2_000
+SHARD_KEYS, BLOCK_NAMES = 20_000, 500
+#: Tasks at most, some of which then compare several pairs of them.
+MAX_TASKS = 20_000
 #: A common subsequence is counted in one word of bits, so for strings of this length at most.
 WORD_BITS = 64
 
@@ -192,7 +194,9 @@ def fuzzy_candidates(names: DataFrame, catalogue: DataFrame, *, n: int = 8, cuto
         return pd.DataFrame(out, columns=["name", "key", "score", "inside", "entity_id", "display", "ratio"])
 
     schema = "name string, key string, score double, inside boolean, entity_id long, display string, ratio double"
-    found = asked.groupBy("shard", "block").cogroup(book.groupBy("shard", "block")).applyInPandas(match, schema)
+    # A number of partitions that is given stays: the pairs are small in bytes and long in work, and would be put together else.
+    dealt = lambda df: df.repartition(min(shards * blocks, MAX_TASKS), "shard", "block").groupBy("shard", "block")
+    found = dealt(asked).cogroup(dealt(book)).applyInPandas(match, schema)
     # Of all shards' close keys the best n stay; a tie goes to the later key, as within a shard.
     scored = found.withColumn("score", F.when(~F.isnan("score"), F.col("score")))
     best = Window.partitionBy("name").orderBy(F.col("score").desc_nulls_last(), F.col("key").desc())
