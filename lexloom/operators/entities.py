@@ -177,9 +177,11 @@ def fuzzy_candidates(names: DataFrame, catalogue: DataFrame, *, n: int = 8, cuto
     asked = names.select("name", t.match_name(F.col("name")).alias("key")).where("key <> ''").distinct()
     count = lambda df: df.agg(F.approx_count_distinct("key").alias("c")).first()["c"]
     shards, blocks = count(keyed) // SHARD_KEYS + 1, count(asked) // BLOCK_NAMES + 1
+    # Both sides give their numbers in one type, since an int and a long of the same value go to different partitions.
     every = lambda k: F.explode(F.sequence(F.lit(0), F.lit(k - 1)))
-    book = keyed.select("key", "entity_id", "display", F.pmod(F.xxhash64("key"), F.lit(shards)).alias("shard"), every(blocks).alias("block"))
-    asked = asked.select("name", "key", every(shards).alias("shard"), F.pmod(F.xxhash64("name"), F.lit(blocks)).alias("block"))
+    part = lambda c, k: F.pmod(F.xxhash64(c), F.lit(k)).cast("int")
+    book = keyed.select("key", "entity_id", "display", part("key", shards).alias("shard"), every(blocks).alias("block"))
+    asked = asked.select("name", "key", every(shards).alias("shard"), part("name", blocks).alias("block"))
 
     def match(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         entries = {k: list(zip(g["entity_id"], g["display"], strict=True)) for k, g in right.sort_values(["key", "entity_id"]).groupby("key", sort=True)}
