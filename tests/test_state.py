@@ -1,3 +1,6 @@
+import random
+
+import numpy as np
 from pyspark.sql import functions as F
 
 from lexloom.operators import coverage, effects, entities, layout, publish, search
@@ -77,14 +80,30 @@ def test_decisions_and_scopes(spark):
 
 
 def test_layout():
-    import pandas as pd
-
     rows = [("PART", 90, 20, 40, 10, 0.9), ("I", 135, 20, 10, 10, 0.9)]
     rows += [(w, 80 + 60 * i, 100, 50, 10, 0.9) for i, w in enumerate(("The", "boat", "shall", "float."))]
     rows += [(w, 80 + 60 * i, 120, 50, 10, 0.9) for i, w in enumerate(("And", "again", "it", "does"))] + [("x", 600, 100, 5, 10, 0.2)]
-    items = pd.DataFrame(rows, columns=["text", "x", "y", "width", "height", "confidence"])
-    assert layout.lines_to_markdown(layout.page_lines(2, "", items)) == "## Part I\n\nThe boat shall float.\n\nAnd again it does"
-    assert layout.page_lines(1, "", items.iloc[:0]) == []
+    assert layout.lines_to_markdown(layout.lines_of_page(2, "", rows)) == "## Part I\n\nThe boat shall float.\n\nAnd again it does"
+    assert layout.lines_of_page(1, "", []) == []
+    assert layout.lines_of_page(1, "", [("x", 600, 100, 5, 10, 0.2)]) == []
+
+
+def test_lines_are_those_of_a_walk():
+    r = random.Random(6)
+    for _ in range(60):
+        n = r.randint(1, 120)
+        page = sorted(r.randrange(4) for _ in range(n))
+        spread = r.choice((20, 200, 2000))
+        items = sorted((p, r.choice((r.random(), 0.5)) * spread, r.choice((6.0, 9.0, 25.0))) for p in page)
+        want, total, count, last = [], 0.0, 0, None
+        for p, centre, reach in items:
+            new = p != last or abs(total / count - centre) > reach
+            total, count, last = (centre, 1, p) if new else (total + centre, count + 1, p)
+            want.append(new)
+        p, centre, reach = (np.array(v) for v in zip(*items, strict=True))
+        assert layout.line_starts(p, centre, reach).tolist() == want
+    empty = np.zeros(0)
+    assert layout.line_starts(empty, empty, empty).tolist() == []
 
 
 def test_layout_table(spark):
