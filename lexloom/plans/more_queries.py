@@ -508,12 +508,15 @@ LINE_WORDS, PAGE_LINES = 8, 24
 
 @query("b16_layout_to_markdown")
 def b16(tb: Tables) -> DataFrame:
-    item = lambda w, i: F.struct(w.alias("text"), (F.lit(80.0) + (i % LINE_WORDS) * 40).alias("x"), (F.lit(90.0) + F.floor(i / LINE_WORDS) * 14).cast("double").alias("y"), F.lit(36.0).alias("width"), F.lit(10.0).alias("height"), F.lit(0.9).alias("confidence"))
     n = LINE_WORDS * PAGE_LINES
-    page = lambda p: F.struct((p + 1).alias("page"), F.lit("").alias("text"), F.transform(F.slice("words", p * n + 1, n), item).alias("text_items"))
     worded = tb.read("documents").where("text is not null").select(F.col("doc_id").cast("string").alias("path"), F.split("text", r"\s+").alias("words"))
-    pages = F.transform(F.sequence(F.lit(0), F.ceil(F.size("words") / n).cast("int") - 1), page)
-    return layout.layout_to_markdown(worded.select("path", F.lit("Title").alias("title"), pages.alias("pages")))
+    # A row for each page before its words are cut out, so that a long text's words are not read again for each of its pages.
+    paged = worded.select("path", "words", F.explode(F.sequence(F.lit(0), F.ceil(F.size("words") / n).cast("int") - 1)).alias("p"))
+    places = {"x": [80.0 + i % LINE_WORDS * 40 for i in range(n)], "y": [90.0 + i // LINE_WORDS * 14 for i in range(n)], "width": [36.0] * n, "height": [10.0] * n, "confidence": [0.9] * n}
+    held = F.least(F.size("words") - F.col("p") * n, F.lit(n))
+    items = F.arrays_zip(F.slice("words", F.col("p") * n + 1, n).alias("text"), *[F.slice(F.array(*map(F.lit, v)), F.lit(1), held).alias(c) for c, v in places.items()])
+    pages = paged.select("path", (F.col("p") + 1).alias("page"), F.lit("").alias("text"), items.alias("text_items"))
+    return layout.pages_to_markdown(pages, worded.select("path", F.lit("Title").alias("title")))
 
 
 # --- streams --------------------------------------------------------------------------------------
