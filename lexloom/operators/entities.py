@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-import difflib
-import heapq
-
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexloom.functions import text as t
-from lexloom.operators.keyed import distinct_on, numbered
+from lexloom.operators import closest
+from lexloom.operators.closest import Shelf
+from lexloom.operators.keyed import SMALL, distinct_on, numbered
 
 
 def staged_duties(raw: DataFrame) -> DataFrame:
@@ -103,109 +102,61 @@ def resolution_ratio(duties: DataFrame, entities: DataFrame, aliases: DataFrame)
     return names.join(known, "_l", "left").agg(F.count(F.lit(1)).alias("names"), F.count_if("known").alias("resolved"))
 
 
-#: Keys of the catalogue, and names, that one task compares with each other.
-SHARD_KEYS, BLOCK_NAMES = 20_000, 500
+#: Keys of the catalogue, and keys of names, that one task compares with each other at most; of fewer names than the
+#: latter, LEAST_NAMES at least make a task.
+SHARD_KEYS, BLOCK_NAMES, LEAST_NAMES = 100_000, 10_000, 500
 #: Tasks at most, some of which then compare several pairs of them.
 MAX_TASKS = 20_000
-#: A common subsequence is counted in one word of bits, so for strings of this length at most.
-WORD_BITS = 64
-
-
-class Shelf:
-    """Keys (of `t.match_name`, so ASCII) with what bounds their ratio to a name, for all keys at once.
-
-    The blocks that a ratio counts are a common subsequence, and that is a common multiset of characters: twice the size
-    of either over both lengths is never below the ratio.  So only keys whose bound reaches a ratio found are compared.
-    """
-
-    def __init__(self, keys: list[str]) -> None:
-        self.keys = keys
-        own = [np.frombuffer(k.encode("ascii"), np.uint8) for k in keys]
-        self.lengths = np.array([len(x) for x in own], np.int64)
-        self.counts = np.zeros((128, len(keys)), np.int32)
-        self.places = np.zeros((WORD_BITS, len(keys)), np.uint8)
-        for i, x in enumerate(own):
-            self.counts[:, i] = np.bincount(x, minlength=128)
-            self.places[: len(x), i] = x[:WORD_BITS]
-
-    def common(self, name: np.ndarray) -> np.ndarray:
-        """Characters that each key shares with the name, in any order."""
-        out = np.zeros(len(self.keys), np.int64)
-        for c, n in zip(*np.unique(name, return_counts=True), strict=True):
-            out += np.minimum(self.counts[c], n)
-        return out
-
-    def in_order(self, name: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Length of the longest common subsequence of the name and each key of ``at``, none longer than a word of bits."""
-        masks = np.zeros(128, np.uint64)
-        np.bitwise_or.at(masks, name, np.uint64(1) << np.arange(len(name), dtype=np.uint64))
-        open_ = np.full(len(at), ~np.uint64(0))
-        for row in self.places[: self.lengths[at].max(initial=0)]:
-            met = masks[row[at]]
-            open_ = (open_ + (open_ & met)) | (open_ & ~met)
-        return np.bitwise_count(~open_).astype(np.int64)
-
-    def close(self, key: str, n: int, cutoff: float) -> tuple[dict[str, float], list[str]]:
-        """The ``n`` keys of the best ratio of at least ``cutoff``, a tie to the later key, and all keys that hold the name or lie in it."""
-        name = np.frombuffer(key.encode("ascii"), np.uint8)
-        common, both = self.common(name), np.maximum(self.lengths + len(name), 1)
-        within = np.flatnonzero(common == np.minimum(self.lengths, len(name)))
-        inside = [k for i in within if key in (k := self.keys[i]) or k in key]
-        left = np.flatnonzero(2.0 * common / both >= cutoff)
-        short = left[self.lengths[left] <= WORD_BITS] if len(name) <= WORD_BITS else left[:0]
-        common[short] = self.in_order(name, short)
-        bound = 2.0 * common[left] / both[left]
-        matcher, best = difflib.SequenceMatcher(b=key), []
-        for i in np.argsort(-bound, kind="stable"):
-            if bound[i] < cutoff or (len(best) == n and bound[i] < best[0][0]):
-                break
-            matcher.set_seq1(self.keys[left[i]])
-            found = (matcher.ratio(), self.keys[left[i]])
-            if found[0] >= cutoff:
-                (heapq.heappush if len(best) < n else heapq.heappushpop)(best, found)
-        return {k: score for score, k in best}, inside
 
 
 def fuzzy_candidates(names: DataFrame, catalogue: DataFrame, *, n: int = 8, cutoff: float = 0.72, keep: int = 6) -> DataFrame:
     """(name, entity_id, display, ratio, rank): for each name the closest catalogue entries (entity_id, display).
 
     Close are the ``n`` best keys with a ratio of at least ``cutoff``, and for names longer than 8
-    characters keys that contain the name or lie in it.  A name that has no letters or digits, or is null, has none.  Blocks of names meet shards of the catalogue, each
+    characters keys that contain the name or lie in it.  A name that has no letters or digits, or is null, has none.
+    Names and entries of one key are compared once.  Blocks of names' keys meet shards of the catalogue's, each
     pair of them in a task of its own, whatever the sizes of both; a shard's best are merged by name.
     """
-    keyed = catalogue.withColumn("key", t.match_name(F.col("display"))).where("key <> ''")
-    asked = names.select("name", t.match_name(F.col("name")).alias("key")).where("key <> ''").distinct()
-    count = lambda df: df.agg(F.approx_count_distinct("key").alias("c")).first()["c"]
-    shards, blocks = count(keyed) // SHARD_KEYS + 1, count(asked) // BLOCK_NAMES + 1
+    keyed = catalogue.select(t.match_name(F.col("display")).alias("near"), F.col("entity_id").cast("long").alias("entity_id"), "display").where("near <> ''")
+    asked = names.select("name", t.match_name(F.col("name")).alias("key")).where("key <> ''")
+    size = keyed.agg(F.approx_count_distinct("near").alias("keys"), F.sum(F.octet_length("near") + F.octet_length("display") + 16).alias("bytes")).first()
+    wanted, wide = asked.agg(F.approx_count_distinct("key").alias("c")).first()["c"], 2 * names.sparkSession.sparkContext.defaultParallelism
+    shards, blocks = size["keys"] // SHARD_KEYS + 1, max(wanted // BLOCK_NAMES, min(wanted // LEAST_NAMES, wide)) + 1
     # Both sides give their numbers in one type, since an int and a long of the same value go to different partitions.
     every = lambda k: F.explode(F.sequence(F.lit(0), F.lit(k - 1)))
     part = lambda c, k: F.pmod(F.xxhash64(c), F.lit(k)).cast("int")
-    book = keyed.select("key", "entity_id", "display", part("key", shards).alias("shard"), every(blocks).alias("block"))
-    asked = asked.select("name", "key", every(shards).alias("shard"), part("name", blocks).alias("block"))
-
-    def match(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        entries = {k: list(zip(g["entity_id"], g["display"], strict=True)) for k, g in right.sort_values(["key", "entity_id"]).groupby("key", sort=True)}
-        shelf, out = Shelf(list(entries)), []
-        for name, key in zip(left["name"], left["key"], strict=True):
-            # Closeness is the ratio from the key to the name, which is not always the one from the name to the key.
-            close, held = shelf.close(key, n, cutoff)
-            inside = set(held) if len(key) > 8 else set()
-            for k in sorted(close.keys() | inside):
-                ratio = difflib.SequenceMatcher(None, key, k).ratio()
-                out += [(name, k, close.get(k), k in inside, int(e), d, ratio) for e, d in entries[k]]
-        return pd.DataFrame(out, columns=["name", "key", "score", "inside", "entity_id", "display", "ratio"])
-
-    schema = "name string, key string, score double, inside boolean, entity_id long, display string, ratio double"
+    book = keyed.select("near").distinct().select("near", part("near", shards).alias("shard"), every(blocks).alias("block"))
+    keys = asked.select("key").distinct().select("key", every(shards).alias("shard"), part("key", blocks).alias("block"))
+
+    def match(left: pa.Table, right: pa.Table) -> pa.Table:
+        shelf, own = Shelf(sorted(right["near"].to_pylist())), left["key"].to_pylist()
+        # Closeness is the ratio from the key to the name, which is not always the one from the name to the key.
+        held, score = shelf.closest(own, n, cutoff)
+        row, slot = np.nonzero(held >= 0)
+        long = [i for i, k in enumerate(own) if len(k) > 8]
+        whose, inner = shelf.inside([own[i] for i in long])
+        pairs = lambda i, k: i * max(1, len(shelf.keys)) + k
+        close, inside = pairs(row, held[row, slot]), np.unique(pairs(np.array(long, np.int64)[whose], inner))
+        both = np.unique(np.concatenate([close, inside]))
+        i, k = both // max(1, len(shelf.keys)), both % max(1, len(shelf.keys))
+        scores = np.full(len(both), np.nan)
+        scores[np.searchsorted(both, close)] = score[row, slot]
+        columns = [left["key"].take(i), pa.array(shelf.keys, pa.string()).take(pa.array(k)), pa.array(scores, from_pandas=True), pa.array(np.isin(both, inside)), pa.array(shelf.ratios(closest.Texts(own), i, k))]
+        return pa.table(columns, ["key", "near", "score", "inside", "ratio"])
+
     # A number of partitions that is given stays: the pairs are small in bytes and long in work, and would be put together else.
     dealt = lambda df: df.repartition(min(shards * blocks, MAX_TASKS), "shard", "block").groupBy("shard", "block")
-    found = dealt(asked).cogroup(dealt(book)).applyInPandas(match, schema)
+    found = dealt(keys).cogroup(dealt(book)).applyInArrow(match, "key string, near string, score double, inside boolean, ratio double")
     # Of all shards' close keys the best n stay; a tie goes to the later key, as within a shard.
-    scored = found.withColumn("score", F.when(~F.isnan("score"), F.col("score")))
-    best = Window.partitionBy("name").orderBy(F.col("score").desc_nulls_last(), F.col("key").desc())
-    left = scored.withColumn("_k", F.dense_rank().over(best)).where((F.col("score").isNotNull() & (F.col("_k") <= n)) | F.col("inside"))
-    one = distinct_on(left, ["name", "entity_id"], [F.col("ratio").desc(), F.col("key")])
-    ranked = one.withColumn("rank", F.row_number().over(Window.partitionBy("name").orderBy(F.col("ratio").desc(), "entity_id")))
-    return ranked.where(F.col("rank") <= keep).select("name", "entity_id", "display", "ratio", "rank")
+    best = Window.partitionBy("key").orderBy(F.col("score").desc_nulls_last(), F.col("near").desc())
+    left = found.withColumn("_k", F.dense_rank().over(best)).where((F.col("score").isNotNull() & (F.col("_k") <= n)) | F.col("inside"))
+    # All entries of a key rank by their ids alone, so the first ``keep`` of each are enough.
+    entries = keyed.groupBy("near", "entity_id").agg(F.min("display").alias("display"))
+    entries = entries.withColumn("_n", F.row_number().over(Window.partitionBy("near").orderBy("entity_id"))).where(F.col("_n") <= keep).drop("_n")
+    entries = F.broadcast(entries) if (size["bytes"] or 0) <= SMALL else entries
+    one = distinct_on(left.join(entries, "near"), ["key", "entity_id"], [F.col("ratio").desc(), F.col("near")])
+    ranked = one.withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy(F.col("ratio").desc(), "entity_id"))).where(F.col("rank") <= keep)
+    return asked.distinct().join(ranked, "key").select("name", "entity_id", "display", "ratio", "rank")
 
 
 def scoped_members(definitions: DataFrame, entities: DataFrame) -> DataFrame:
