@@ -13,8 +13,8 @@ WORD_BITS = 64
 JUNK_LENGTH = 200
 #: Names searched for at a time, pairs compared at a time, nodes of trees visited at a time.
 BATCH, PAIRS, MOST = 2048, 8192, 1 << 20
-#: Nodes, or half the keys if that is more, that a walk may visit for a name before all keys are scanned instead.
-VISITS = 20_000
+#: As many keys are scanned in the time of a visit of a node; a name's walks together visit what a scan would cost.
+VISIT = 10
 #: Times that a walk lowers its bound at most, and what a level of a walk and a scan cost, in keys that are scanned.
 STEPS, LEVEL, SCAN = 8, 2000, 10_000
 #: Shares of the keys before those that a walk visits first, next and last.
@@ -164,7 +164,7 @@ class Shelf:
     def __init__(self, keys: list[str]) -> None:
         self.keys, self.own = keys, Texts(keys)
         self.lengths, self.letters = self.own.lengths, np.unique(self.own.text)
-        self.limit = max(VISITS, len(keys) // 2)
+        self.limit = (SCAN + len(keys)) // VISIT
 
     @cached_property
     def trees(self) -> dict[int, Tree]:
@@ -216,8 +216,8 @@ class Shelf:
         bound = 2.0 * bound / both[left]
         return left[bound >= cutoff], bound[bound >= cutoff]
 
-    def walk(self, asked: Asked, reach: np.ndarray, below: np.ndarray, low: int, high: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(name, key, bound) of the keys from ``low`` to before ``high`` whose bound is ``reach`` or more but not ``below``, and which names visit too many nodes to tell."""
+    def walk(self, asked: Asked, reach: np.ndarray, below: np.ndarray, limit: np.ndarray, low: int, high: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(name, key, bound) of the keys from ``low`` to before ``high`` whose bound is ``reach`` or more but not ``below``, and each name's visits; above ``limit`` it has no keys."""
         size, n = asked.size, len(asked.size)
         seen, over, out = np.zeros(n, np.int64), np.zeros(n, bool), [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
         for length, tree in self.trees.items():
@@ -238,11 +238,11 @@ class Shelf:
                 begin = np.where(free, np.maximum(first[node], least), highest(met))
                 count = np.where(free, np.minimum(first[node + 1], most), far[row]) - begin
                 seen += np.bincount(row, weights=count, minlength=n).astype(np.int64)
-                if (seen > self.limit).any():
-                    over = seen > self.limit
+                if (seen > limit).any():
+                    over = seen > limit
                     count[over[row]] = 0
                 if count.sum() > MOST and n > 1:
-                    halves = [(h, self.walk(asked[h], reach[h], below[h], low, high)) for h in np.array_split(np.arange(n), 2)]
+                    halves = [(h, self.walk(asked[h], reach[h], below[h], limit[h], low, high)) for h in np.array_split(np.arange(n), 2)]
                     return (*(np.concatenate(x) for x in zip(*((h[w[0]], w[1], w[2]) for h, w in halves), strict=True)), np.concatenate([w[3] for _, w in halves]))
                 at, child = np.repeat(np.arange(len(row)), count), ramps(begin, count)
                 tied = np.flatnonzero(~free[at])
@@ -262,7 +262,7 @@ class Shelf:
             out.append((row, tree.numbers[node], 2.0 * met / (size[row] + length)))
         row, key, bound = (np.concatenate(x) for x in zip(*out, strict=True))
         told = ~over[row]
-        return row[told], key[told], bound[told], over
+        return row[told], key[told], bound[told], seen
 
     def ratios(self, names: Texts, row: np.ndarray, key: np.ndarray, *, back: bool = False) -> np.ndarray:
         """SequenceMatcher's ratio from the name of each row to its key, or back from the key to the name."""
@@ -318,8 +318,9 @@ class Shelf:
         walked = sorted((i for i, x in enumerate(strings) if len(x) <= most), key=lambda i: len(strings[i]))
         for begin in range(0, len(walked), BATCH):
             rows, step = np.array(walked[begin : begin + BATCH]), 0
+            limit = np.full(len(rows), self.limit)
             # A walk costs its levels, however few its names, and a scan its name, so few names in deep trees are scanned.
-            while step < STEPS and len(rows) * (SCAN + len(self.keys)) > int(spread.sum()) * LEVEL:
+            while step < STEPS and len(rows) * (SCAN + len(self.keys)) > int(spread.sum()) * LEVEL * (step + 1):
                 size = np.array([len(strings[i]) for i in rows])
                 both = size[:, None] + spread
                 tops = 2.0 * np.minimum(size[:, None], spread) / both
@@ -336,7 +337,9 @@ class Shelf:
                 for share in SHARES if step else (0,):
                     low = int(len(self.keys) * share)
                     names = Texts([strings[i] for i in rows[left]])
-                    row, key, bound, many = self.walk(Asked(names, self.letters), reach[left], below[left], low, high)
+                    row, key, bound, seen = self.walk(Asked(names, self.letters), reach[left], below[left], limit[left], low, high)
+                    limit[left] -= seen
+                    many = limit[left] < 0
                     own, own_ratio = found[left], ratio[left]
                     self.best(names, row, key, bound, cutoff, own, own_ratio)
                     found[left], ratio[left], over[left] = own, own_ratio, many
@@ -346,7 +349,8 @@ class Shelf:
                         break
                 scanned += rows[over].tolist()
                 held[rows], score[rows] = found, ratio
-                rows, step = rows[(ratio[:, n - 1] < reach) & (reach > cutoff) & ~over], step + 1
+                open_ = (ratio[:, n - 1] < reach) & (reach > cutoff) & ~over
+                rows, limit, step = rows[open_], limit[open_], step + 1
                 if not len(rows):
                     break
             scanned += rows.tolist()

@@ -23,9 +23,9 @@ def test_few_of_many_equally_close_keys_are_compared(monkeypatch):
         assert list(close) == difflib.get_close_matches(name, keys, n=8, cutoff=0.72)
 
 
-@pytest.mark.parametrize(("shares", "batch", "most", "visits"), [((0.97, 0.8, 0), 2048, 1 << 20, 20_000), ((0.5, 0), 3, 50, 20_000), ((0.9, 0.4, 0), 5, 1 << 20, 60), ((0,), 4, 50, 0)])
-def test_many_names_find_what_difflib_finds(monkeypatch, shares, batch, most, visits):
-    for name, value in (("SHARES", shares), ("BATCH", batch), ("MOST", most), ("VISITS", visits), ("LEVEL", 0), ("STEPS", 99 if batch > 3 else 2)):
+@pytest.mark.parametrize(("shares", "batch", "most", "visit"), [((0.97, 0.8, 0), 2048, 1 << 20, 4), ((0.5, 0), 3, 50, 4), ((0.9, 0.4, 0), 5, 1 << 20, 60), ((0,), 4, 50, 10**9)])
+def test_many_names_find_what_difflib_finds(monkeypatch, shares, batch, most, visit):
+    for name, value in (("SHARES", shares), ("BATCH", batch), ("MOST", most), ("VISIT", visit), ("LEVEL", 0), ("STEPS", 99 if batch > 3 else 2)):
         monkeypatch.setattr(closest, name, value)
     r = random.Random(6)
     number = lambda: r.choice(("supplier", "suplier")) + f"{r.randrange(2000):05d}"
