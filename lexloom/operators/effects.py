@@ -56,8 +56,14 @@ def changeset_totals(changes: DataFrame) -> DataFrame:
     return changes.groupBy("affecting_document_id").agg(*[F.sum(c).alias(c) for c in ("effect_count", "textual_count", "applied_count", "prospective_count")], F.count(F.lit(1)).alias("documents"))
 
 
-def effects_coverage(effects: DataFrame, refs: DataFrame, provisions: DataFrame) -> DataFrame:
-    """For each affected document: effects, textual, applied, and those with a reference that a provision answers."""
+def effects_coverage(effects: DataFrame, refs: DataFrame | None, provisions: DataFrame) -> DataFrame:
+    """For each affected document: effects, textual, applied, and those with a reference that a provision answers.
+
+    Without ``refs`` each effect has one reference and carries it as section_number and provision_kind: no
+    effect is then looked up by its id; effects are counted by document and reference, where the provisions meet them.
+    """
+    if refs is None:
+        return _coverage_of_single(effects, provisions)
     owned = refs.where("side = 'affected'").join(effects.select("effect_id", F.col("affected_document_id").alias("document_id")), "effect_id")
     keys = provisions.select("document_id", F.col("number").alias("section_number"), F.col("provision_type").alias("provision_kind"))
     matched = owned.join(keys, ["document_id", "section_number", "provision_kind"], "left_semi").select("effect_id").distinct().withColumn("matched", F.lit(True))
@@ -66,6 +72,17 @@ def effects_coverage(effects: DataFrame, refs: DataFrame, provisions: DataFrame)
     )
 
 
+def _coverage_of_single(effects: DataFrame, provisions: DataFrame) -> DataFrame:
+    key = ["document_id", "section_number", "provision_kind"]
+    count = lambda c: F.coalesce(c, F.lit(False)).cast("long")
+    asked = effects.select(F.col("affected_document_id").alias("document_id"), *key[1:], F.lit(1).cast("long").alias("effects"), count(F.col("textual_kind") == "T").alias("textual"), count(F.col("applied")).alias("applied"), F.lit(False).alias("answered"))
+    none = [F.lit(0).cast("long").alias(c) for c in ("effects", "textual", "applied")]
+    held = provisions.where("document_id is not null and number is not null and provision_type is not null").select("document_id", F.col("number").alias("section_number"), F.col("provision_type").alias("provision_kind"), *none, F.lit(True).alias("answered"))
+    met = asked.unionByName(held).groupBy(*key).agg(*[F.sum(c).alias(c) for c in ("effects", "textual", "applied")], F.max("answered").alias("answered"))
+    own = met.groupBy("document_id").agg(*[F.sum(c).alias(c) for c in ("effects", "textual", "applied")], F.sum(F.when(F.col("answered"), F.col("effects")).otherwise(0)).alias("provision_matched"))
+    return own.where("effects > 0")
+
+
 def confirmation_facts(effects: DataFrame, refs: DataFrame, versions: DataFrame, provisions: DataFrame, *, match_extent: bool = False) -> DataFrame:
     """For each applied textual effect: what the versions around its date say of the provisions it names.
 

@@ -56,15 +56,20 @@ class Tables:
             "concat('h', l_linenumber) as heading", "concat('a', l_linenumber) as anchor", "markdown", "sha2(markdown, 256) as text_sha256",
         ).withColumn("compare_code", compare_code(F.col("markdown")))
 
+    def provision_keys(self) -> DataFrame:
+        return self.read("lineitem").selectExpr("l_partkey as document_id", f"{KIND} as provision_type", "cast(l_linenumber as string) as number")
+
     def texts(self) -> DataFrame:
         return self.read("lineitem").selectExpr(f"{MARKDOWN} as markdown").distinct().selectExpr("sha2(markdown, 256) as text_sha256", "markdown")
 
     def effects(self) -> DataFrame:
-        lines = self.read("lineitem").selectExpr("*", "concat_ws(':', l_orderkey, l_linenumber, l_partkey, l_suppkey, cast(l_shipdate as date), cast(round(l_extendedprice * 100) as bigint)) as effect_id")
+        # What meets in the join is numbers: ids are spelt after it.
+        lines = self.read("lineitem").selectExpr("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "cast(l_shipdate as date) as shipped", "cast(round(l_extendedprice * 100) as bigint) as pence", "l_linestatus = 'F' as applied")
         kind = t.textual_kind(t.lookup(F.col("o_orderpriority"), EFFECT_TYPES))
-        return lines.join(self.read("orders"), lines.l_orderkey == F.col("o_orderkey")).select(
-            "effect_id", F.col("o_custkey").alias("affecting_document_id"), F.col("l_partkey").alias("affected_document_id"), F.concat(F.lit("part "), "l_partkey").alias("affected_title"),
-            F.col("o_orderdate").cast("date").alias("in_force_date"), kind.alias("textual_kind"), (F.col("l_linestatus") == "F").alias("applied"), (F.col("o_orderstatus") == "O").alias("prospective"), F.col("l_linenumber").cast("string").alias("section_number"),
+        orders = self.read("orders").select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("in_force_date"), kind.alias("textual_kind"), (F.col("o_orderstatus") == "O").alias("prospective"))
+        return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+            F.concat_ws(":", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "shipped", "pence").alias("effect_id"), F.col("o_custkey").alias("affecting_document_id"), F.col("l_partkey").alias("affected_document_id"), F.concat(F.lit("part "), "l_partkey").alias("affected_title"),
+            "in_force_date", "textual_kind", "applied", "prospective", F.col("l_linenumber").cast("string").alias("section_number"),
         )
 
     def refs(self) -> DataFrame:
