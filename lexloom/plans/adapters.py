@@ -42,20 +42,37 @@ class Tables:
         labels = self.read("labels").groupBy("doc_id").agg(F.max("quality").alias("quality"))
         return self.read("documents").join(labels, "doc_id", "left").selectExpr("concat('v', doc_id) as version_id", "doc_id", "n_chars as word_count", "quality = 0 as is_metadata_only")
 
-    def dated_lines(self) -> DataFrame:
-        rows = self.read("lineitem").selectExpr("l_partkey", "cast(year(l_shipdate) as int) as y", "l_shipdate", "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", f"{MARKDOWN} as markdown")
+    def dated_lines(self, whole: bool = False) -> DataFrame:
+        lines = self.lines_by_document() if whole else self.read("lineitem")
+        rows = lines.selectExpr("l_partkey", "cast(year(l_shipdate) as int) as y", "l_shipdate", "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "markdown" if whole else f"{MARKDOWN} as markdown")
         w = Window.partitionBy("l_partkey", "y").orderBy("l_shipdate", "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice")
         return rows.withColumn("ordinal", F.row_number().over(w))
 
+    def lines_by_document(self) -> DataFrame:
+        """Lines with all of a document in one place.  Times and prices travel as days and pence, and as they are where that would lose anything."""
+        lines = self.read("lineitem")
+        time = lines.schema["l_shipdate"].dataType.simpleString()
+        sent = lines.selectExpr("*", "cast(l_shipdate as date) as day", "try_cast(round(l_extendedprice * 100) as bigint) as pence").selectExpr(
+            "l_partkey", "day", "l_orderkey", "l_linenumber", "l_suppkey", "pence", f"{MARKDOWN} as markdown",
+            f"case when not (cast(day as {time}) <=> l_shipdate) then l_shipdate end as time", "case when not (pence / 100D <=> l_extendedprice) then l_extendedprice end as price",
+        ).repartition("l_partkey")
+        return sent.selectExpr("l_partkey", "l_orderkey", "l_linenumber", "l_suppkey", "markdown", f"coalesce(time, cast(day as {time})) as l_shipdate", "coalesce(price, pence / 100D) as l_extendedprice")
+
     def versions(self) -> DataFrame:
         return self.read("lineitem").selectExpr("l_partkey as document_id", "cast(year(l_shipdate) as int) as y").distinct().selectExpr("concat(document_id, ':', y) as version_id", "document_id", "make_date(y, 1, 1) as snapshot_date")
 
-    def provisions(self) -> DataFrame:
-        return self.dated_lines().selectExpr(
+    def provisions(self, whole: bool = False) -> DataFrame:
+        """``whole``: with all of a document in one place."""
+        return self.dated_lines(whole).selectExpr(
             "concat(l_partkey, ':', y) as version_id", "l_partkey as document_id", "ordinal", f"{KIND} as provision_type", "cast(l_linenumber as string) as number", f"{EXTENT} as extent",
-            "concat('h', l_linenumber) as heading", "concat('a', l_linenumber) as anchor", "markdown", "sha2(markdown, 256) as text_sha256",
+            "concat('h', l_linenumber) as heading", "concat('a', l_linenumber) as anchor", "markdown", "sha2(markdown, 256) as text_sha256", *(["make_date(y, 1, 1) as snapshot_date"] if whole else []),
         ).withColumn("compare_code", compare_code(F.col("markdown")))
 
+    def versions_by_document(self) -> DataFrame:
+        """As ``versions``, with all of a document in one place and each as often as it has provisions."""
+        years = self.read("lineitem").selectExpr("l_partkey", "cast(year(l_shipdate) as int) as y").repartition("l_partkey")
+        return years.selectExpr("concat(l_partkey, ':', y) as version_id", "l_partkey as document_id", "make_date(y, 1, 1) as snapshot_date")
+
     def provision_keys(self) -> DataFrame:
         return self.read("lineitem").selectExpr("l_partkey as document_id", f"{KIND} as provision_type", "cast(l_linenumber as string) as number")
 
