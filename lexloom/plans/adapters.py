@@ -45,7 +45,8 @@ class Tables:
     def dated_lines(self, whole: bool = False) -> DataFrame:
         lines = self.lines_by_document() if whole else self.read("lineitem")
         rows = lines.selectExpr("l_partkey", "cast(year(l_shipdate) as int) as y", "l_shipdate", "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "markdown" if whole else f"{MARKDOWN} as markdown")
-        w = Window.partitionBy("l_partkey", "y").orderBy("l_shipdate", "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice")
+        # The text comes last, so that order is total and whoever asks for it asks for the same lines: they are shuffled once.
+        w = Window.partitionBy("l_partkey", "y").orderBy("l_shipdate", "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", *(["markdown"] if whole else []))
         return rows.withColumn("ordinal", F.row_number().over(w))
 
     def lines_by_document(self) -> DataFrame:
@@ -58,7 +59,10 @@ class Tables:
         ).repartition("l_partkey")
         return sent.selectExpr("l_partkey", "l_orderkey", "l_linenumber", "l_suppkey", "markdown", f"coalesce(time, cast(day as {time})) as l_shipdate", "coalesce(price, pence / 100D) as l_extendedprice")
 
-    def versions(self) -> DataFrame:
+    def versions(self, whole: bool = False) -> DataFrame:
+        """``whole``: with all of a document in one place, from the lines that ``provisions`` has there."""
+        if whole:
+            return self.provisions(whole).where("ordinal = 1").select("version_id", "document_id", "snapshot_date")
         return self.read("lineitem").selectExpr("l_partkey as document_id", "cast(year(l_shipdate) as int) as y").distinct().selectExpr("concat(document_id, ':', y) as version_id", "document_id", "make_date(y, 1, 1) as snapshot_date")
 
     def provisions(self, whole: bool = False) -> DataFrame:
@@ -68,23 +72,19 @@ class Tables:
             "concat('h', l_linenumber) as heading", "concat('a', l_linenumber) as anchor", "markdown", "sha2(markdown, 256) as text_sha256", *(["make_date(y, 1, 1) as snapshot_date"] if whole else []),
         ).withColumn("compare_code", compare_code(F.col("markdown")))
 
-    def versions_by_document(self) -> DataFrame:
-        """As ``versions``, with all of a document in one place and each as often as it has provisions."""
-        years = self.read("lineitem").selectExpr("l_partkey", "cast(year(l_shipdate) as int) as y").repartition("l_partkey")
-        return years.selectExpr("concat(l_partkey, ':', y) as version_id", "l_partkey as document_id", "make_date(y, 1, 1) as snapshot_date")
-
     def provision_keys(self) -> DataFrame:
         return self.read("lineitem").selectExpr("l_partkey as document_id", f"{KIND} as provision_type", "cast(l_linenumber as string) as number")
 
     def texts(self) -> DataFrame:
         return self.read("lineitem").selectExpr(f"{MARKDOWN} as markdown").distinct().selectExpr("sha2(markdown, 256) as text_sha256", "markdown")
 
-    def effects(self) -> DataFrame:
-        # What meets in the join is numbers: ids are spelt after it.
+    def effects(self, whole: bool = False) -> DataFrame:
+        """``whole``: with all of an affected document in one place.  Numbers travel; ids are spelt where they arrive."""
         lines = self.read("lineitem").selectExpr("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "cast(l_shipdate as date) as shipped", "cast(round(l_extendedprice * 100) as bigint) as pence", "l_linestatus = 'F' as applied")
         kind = t.textual_kind(t.lookup(F.col("o_orderpriority"), EFFECT_TYPES))
         orders = self.read("orders").select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("in_force_date"), kind.alias("textual_kind"), (F.col("o_orderstatus") == "O").alias("prospective"))
-        return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        both = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        return (both.repartition("l_partkey") if whole else both).select(
             F.concat_ws(":", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "shipped", "pence").alias("effect_id"), F.col("o_custkey").alias("affecting_document_id"), F.col("l_partkey").alias("affected_document_id"), F.concat(F.lit("part "), "l_partkey").alias("affected_title"),
             "in_force_date", "textual_kind", "applied", "prospective", F.col("l_linenumber").cast("string").alias("section_number"),
         )

@@ -82,3 +82,10 @@ def test_lines_by_document_lose_nothing(spark, tmp_path):
 def test_attribution_shuffles_each_table_once(spark, name):
     plan = planned(name, spark)
     assert plan.count("FileScan") == 4 and plan.count("Exchange hashpartitioning") == 3
+
+
+@needs_tables
+def test_versions_and_provisions_share_their_shuffle(spark):
+    got = QUERIES["j15_unattached_effects"](spark, SF)
+    got.collect()
+    assert "ReusedExchange" in got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
